@@ -6,7 +6,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import media, mixing, packing, quality, sharding
+from . import jaccard, media, mixing, packing, quality, sharding, substring
 from .text import WORD
 
 TOKENIZER = public_tokenizers.path("word_bpe_49k.json")
@@ -28,6 +28,15 @@ def op3_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality.judge(table(spark, sf_dir, "documents"))
 
 
+def op4_ngram_jaccard(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return jaccard.links_and_groups(table(spark, sf_dir, "documents"), n=4, percent=85)
+
+
+def op5_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    cut = substring.cut_repeats(table(spark, sf_dir, "documents").select("doc_id", "text"))
+    return cut.select("doc_id", "n_words", "n_removed", F.sha2("kept_text", 256).alias("kept_sha256"))
+
+
 def op7_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     rated = mixing.rates(table(spark, sf_dir, "documents").select("doc_id", "text", "source"))
     return rated.select("doc_id", "size", "source_size", "target", (F.col("size") * F.col("copies")).alias("taken"))
@@ -58,6 +67,33 @@ SELECT doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words, base
 FROM b
 """
 
+OP4_SQL = rf"""
+WITH RECURSIVE d AS (SELECT doc_id, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '{WORD}') AS ws FROM documents),
+g AS (SELECT doc_id, list_distinct(CASE WHEN len(ws) = 0 THEN [] WHEN len(ws) < 4 THEN [array_to_string(ws, ' ')]
+             ELSE list_transform(range(1, len(ws) - 2), lambda i: array_to_string(ws[i:i + 3], ' ')) END) AS gs FROM d),
+s AS (SELECT md5(array_to_string(list_sort(gs), chr(10))) AS node, min(doc_id) AS doc_id, any_value(gs) AS gs FROM g WHERE len(gs) > 0 GROUP BY 1),
+x AS (SELECT doc_id, len(gs) AS n, unnest(gs) AS gram FROM s),
+common AS (SELECT a.doc_id AS a, b.doc_id AS b, count(*) AS k, any_value(a.n) + any_value(b.n) AS n
+           FROM x a JOIN x b ON a.gram = b.gram AND a.doc_id < b.doc_id GROUP BY 1, 2),
+link AS (SELECT a, b FROM common WHERE 185 * k >= 85 * n),
+edge AS (SELECT a, b FROM link UNION SELECT b, a FROM link),
+reach(a, b) AS (SELECT doc_id, doc_id FROM s UNION SELECT r.a, e.b FROM reach r JOIN edge e ON r.b = e.a),
+root AS (SELECT a AS doc_id, min(b) AS root FROM reach GROUP BY 1)
+SELECT g.doc_id, len(g.gs) AS n_shingles, coalesce(root, g.doc_id) AS component_id
+FROM g LEFT JOIN s ON s.node = md5(array_to_string(list_sort(g.gs), chr(10))) AND len(g.gs) > 0 LEFT JOIN root ON root.doc_id = s.doc_id
+"""
+
+OP5_SQL = rf"""
+WITH d AS (SELECT doc_id, regexp_extract_all(coalesce(text, ''), '{WORD}') AS ws FROM documents),
+win AS (SELECT doc_id, s, md5(array_to_string(ws[s:s + 19], ' ')) AS k FROM d, unnest(range(1, len(ws) - 18)) AS u(s)),
+late AS (SELECT doc_id, s FROM win QUALIFY row_number() OVER (PARTITION BY k ORDER BY doc_id, s) > 1),
+gone AS (SELECT doc_id, list(DISTINCT p) AS ps FROM late, unnest(range(s, s + 20)) AS u(p) GROUP BY doc_id),
+word AS (SELECT doc_id, i, ws[i] AS w FROM d, unnest(range(1, len(ws) + 1)) AS u(i)),
+kept AS (SELECT doc_id, string_agg(w, ' ' ORDER BY i) AS t FROM word ANTI JOIN (SELECT doc_id, unnest(ps) AS i FROM gone) AS g USING (doc_id, i) GROUP BY doc_id)
+SELECT d.doc_id, len(ws) AS n_words, coalesce(len(ps), 0) AS n_removed, sha256(coalesce(t, '')) AS kept_sha256
+FROM d LEFT JOIN gone USING (doc_id) LEFT JOIN kept USING (doc_id)
+"""
+
 OP7_SQL = rf"""
 WITH d AS (SELECT doc_id, source, len(regexp_extract_all(coalesce(text, ''), '{WORD}')) AS size FROM documents),
 s AS (SELECT source, sum(size)::BIGINT AS source_size FROM d GROUP BY source),
@@ -79,8 +115,10 @@ QUERIES = {
     "op1_media_columns": op1_media_columns,
     "op2_best_fit_packing": op2_best_fit_packing,
     "op3_quality_rules": op3_quality_rules,
+    "op4_ngram_jaccard": op4_ngram_jaccard,
+    "op5_substring_dedup": op5_substring_dedup,
     "op7_mixing": op7_mixing,
     "op10_sharding": op10_sharding,
 }
 
-ORACLE_SQL = {"op3_quality_rules": OP3_SQL, "op7_mixing": OP7_SQL}
+ORACLE_SQL = {"op3_quality_rules": OP3_SQL, "op4_ngram_jaccard": OP4_SQL, "op5_substring_dedup": OP5_SQL, "op7_mixing": OP7_SQL}
