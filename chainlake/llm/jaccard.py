@@ -13,11 +13,13 @@ everything: they are left out unless a node has K - D or more of them, so that e
 keeps a common block with a set bit, or meets in an empty block with its like.
 
 Buckets are resolved without writing out all their pairs: each member is compared with the
-bucket's smallest node; components are formed; only buckets that still span several
-components are looked at again, between their components: directly if small, else split by
-a second, independent sketch, for which the same guarantee holds. A pair is tested by the
-Hamming bound first and by its exact intersection then. No cap, no sampling: every pair
-that links is found, or lies in one component already.
+bucket's lead, the node that shares the most blocks; components are formed; only buckets
+that still span several components are looked at again, between their components. Small
+ones give their pairs directly. The nodes of larger ones form families, which are compared
+in chunks of bounded size by bit sketches, without a row per pair; their work is quadratic
+in the nodes of a family that do not link with its leads, the rest is not. A pair is tested
+by the Hamming bound first and by its exact intersection then. No cap, no sampling: every
+pair that links is found, or lies in one component already.
 
 Keys that many nodes share are found on a sample of ``sample_rows`` rows and salted; this
 decides the routing only, not the result.
@@ -45,7 +47,7 @@ from .components import components
 from .scratch import store
 from .text import WordHashes, hashed_words, mix, ngrams, slices, utf8
 
-_SKETCH_WORDS = 16  # of 64 bits, for the Hamming test of a pair
+_SKETCH_WORDS = 64  # of 64 bits, for the Hamming test of a pair
 _SALTS = 16
 
 
@@ -89,14 +91,12 @@ def _spread(x: np.ndarray) -> np.ndarray:
     return mix(x, np.full(len(x), 0x5851F42D4C957F2D, np.uint64))
 
 
-def keys_of(members: np.ndarray, percent: int, level: int = 0) -> np.ndarray:
+def keys_of(members: np.ndarray, percent: int) -> np.ndarray:
     """The join keys of a set: one for each block with a set bit, in its band and perhaps the next."""
     tops, most, blocks = _bands(percent)
     n = len(members)
     if not n:
         return np.empty(0, np.uint64)
-    if level:
-        members = np.sort(mix(members, np.full(n, level, np.uint64)))
     high, bits = members >> np.uint64(32), _spread(members & np.uint64(0xFFFF))
     own = int(np.searchsorted(tops, n))
     found = []
@@ -109,7 +109,7 @@ def keys_of(members: np.ndarray, percent: int, level: int = 0) -> np.ndarray:
         block = (high * np.uint64(k)) >> np.uint64(32)
         first = np.flatnonzero(np.concatenate([[True], block[1:] != block[:-1]]))
         content, block = np.bitwise_xor.reduceat(bits, first), block[first]
-        tag = np.uint64((level << 40) + (band << 32))
+        tag = np.uint64(band << 32)
         filled = content != 0
         keys = mix(content[filled], block[filled] + tag)
         if k - len(keys) >= k - most[band]:
@@ -121,7 +121,7 @@ def keys_of(members: np.ndarray, percent: int, level: int = 0) -> np.ndarray:
 
 def sketch_of(members: np.ndarray) -> np.ndarray:
     """The parity of the members' hashes in ``_SKETCH_WORDS`` words of 64 bits."""
-    bit = (members * np.uint64(0x9E3779B97F4A7C15)) >> np.uint64(54)
+    bit = (members * np.uint64(0x9E3779B97F4A7C15)) >> np.uint64(52)
     odd = np.bincount(bit.astype(np.int64), minlength=64 * _SKETCH_WORDS) & 1
     return np.packbits(odd.astype(np.uint8), bitorder="little").view(np.int64)
 
@@ -130,7 +130,7 @@ def _over_sets(docs: DataFrame, n: int, make, schema: str, once: bool = False) -
     """``make(ids, nodes, sets)`` -> columns, over docs (id, text). once: a node that this task had lately comes no more."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        hashes, seen = WordHashes(), set()
+        hashes, seen = WordHashes(150_000), set()
         for whole in batches:
             for batch in slices(whole, "text", 1_000_000):
                 sets = sets_of([x or b"" for x in utf8(batch.column(1))], n, hashes)
@@ -138,7 +138,7 @@ def _over_sets(docs: DataFrame, n: int, make, schema: str, once: bool = False) -
                 keep = range(len(sets))
                 if once:
                     keep = [i for i, x in enumerate(nodes) if x is not None and not (x in seen or seen.add(x))]
-                    if len(seen) > 1_000_000:
+                    if len(seen) > 200_000:
                         seen.clear()
                 ids = batch.column(0).to_pylist()
                 yield from make([ids[i] for i in keep], [nodes[i] for i in keep], [sets[i] for i in keep])
@@ -150,7 +150,7 @@ def _batch(**columns) -> pa.RecordBatch:
     return pa.RecordBatch.from_pydict(columns)
 
 
-def links_and_groups(docs: DataFrame, id: str = "doc_id", text: str = "text", n: int = 5, percent: int = 80, small: int = 32, sample_rows: int = 20_000) -> DataFrame:
+def links_and_groups(docs: DataFrame, id: str = "doc_id", text: str = "text", n: int = 5, percent: int = 80, small: int = 12, family_members: int = 2_000_000, sample_rows: int = 20_000) -> DataFrame:
     """(id, n_shingles, component_id) of each row; component_id is the smallest id of its component."""
     docs = docs.select(F.col(id).cast("long").alias("id"), F.col(text).alias("text"))
 
@@ -170,14 +170,16 @@ def links_and_groups(docs: DataFrame, id: str = "doc_id", text: str = "text", n:
             part = sets[i : i + 200]
             yield _batch(node=pa.array(nodes[i : i + 200], pa.int64()), n=pa.array(map(len, part), pa.int64()), members=pa.array([s.view(np.int64) for s in part], pa.list_(pa.int64())), sketch=pa.array([sketch_of(s) for s in part], pa.list_(pa.int64())))
 
-    wanted = _semi(docs, store(texts, "wanted")).unionByName(null_ids)
+    wanted = _semi(docs, store(texts, "wanted"), "id").unionByName(null_ids)
     sets = store(_over_sets(wanted, n, full, "node long, n long, members array<long>, sketch array<long>", once=True), "sets")
 
+    members = store(_led(members), "led-members")
     star = store(_star(members), "star")
     links = store(_linked(star, sets, percent), "links-star")
     comp = store(components(links), "components")
-    more = _between(members, comp, sets, star, percent, small)
-    again = store(_linked(more, sets, percent), "links-between")
+    open_ = store(_open(members, comp), "open")
+    again = _linked(_between(open_.filter(F.col("size") <= small), star, percent), sets, percent)
+    again = store(again.union(_families(open_.filter(F.col("size") > small), sets, percent, family_members)), "links-between")
     if not again.isEmpty():
         comp = store(components(links.union(again)), "components")
 
@@ -198,10 +200,10 @@ def one_of_each(docs: DataFrame, id: str = "doc_id", **how) -> DataFrame:
     return kept if repeated.isEmpty() else kept.filter(F.col(id).isNotNull()).dropDuplicates([id]).unionByName(kept.filter(F.col(id).isNull()))
 
 
-def _semi(docs: DataFrame, ids: DataFrame, broadcast_rows: int = 1_000_000) -> DataFrame:
-    """Rows of docs with an id in ids; by broadcast up to ``broadcast_rows`` ids (8 MB), else by a shuffle."""
+def _semi(rows: DataFrame, ids: DataFrame, on: str, broadcast_rows: int = 1_000_000) -> DataFrame:
+    """The rows with a value in ids; by broadcast up to ``broadcast_rows`` ids (8 MB), else by a shuffle."""
     side = F.broadcast(ids) if ids.count() <= broadcast_rows else ids
-    return docs.join(side, "id", "left_semi")
+    return rows.join(side, on, "left_semi")
 
 
 _KEYS = "key long, node long, n int, salt int"
@@ -238,16 +240,23 @@ def _members(docs: DataFrame, total: int, n: int, percent: int, sample_rows: int
     keys = _over_sets(docs, n, keyed(sent), _KEYS, once=True)
     bucket = Window.partitionBy("key", "salt")
     spans = keys.withColumns({"low": F.min("node").over(bucket), "high": F.max("node").over(bucket)})
-    return spans.filter("salt > 0 or low < high").select("key", "salt", "node", "n", "low").distinct()
+    return spans.filter("salt > 0 or low < high").select("key", "salt", "node", "n").distinct()
+
+
+def _led(members: DataFrame) -> DataFrame:
+    """members with ``lead``: the bucket's node that shares the most blocks with others, the likely centre."""
+    support = members.groupBy("node").agg(F.count(F.lit(1)).alias("support"))
+    lead = F.max(F.struct("support", "node")).over(Window.partitionBy("key", "salt"))["node"]
+    return members.join(support, "node").withColumn("lead", lead).select("key", "salt", "node", "n", "lead")
 
 
 def _star(members: DataFrame) -> DataFrame:
-    """Pairs (a, b) of each bucket's smallest node with its others, over the salts of a key too."""
-    inside = members.filter("node != low").select(F.col("low").alias("a"), F.col("node").alias("b"))
-    leaders = members.filter("salt > 0").select("key", "salt", "low").distinct()
-    top = F.min("low").over(Window.partitionBy("key"))
-    across = leaders.select(top.alias("a"), F.col("low").alias("b")).filter("a != b")
-    return inside.union(across).distinct()
+    """Pairs of each bucket's lead with its others, over the salts of a key too."""
+    inside = members.filter("node != lead").select("lead", "node")
+    leads = members.filter("salt > 0").select("key", "lead").distinct()
+    top = F.min("lead").over(Window.partitionBy("key"))
+    across = leads.select(top.alias("top"), "lead").filter("top != lead").toDF("lead", "node")
+    return inside.union(across).select(F.least("lead", "node").alias("a"), F.greatest("lead", "node").alias("b")).distinct()
 
 
 def _linked(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
@@ -260,33 +269,78 @@ def _linked(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
     total = F.col("n_a") + F.col("n_b")
     apart = F.aggregate(F.zip_with("sketch_a", "sketch_b", lambda x, y: F.bit_count(x.bitwiseXOR(y))), F.lit(0), lambda s, x: s + x)
     near = light.filter(100 * F.least("n_a", "n_b") >= percent * F.greatest("n_a", "n_b")).filter((100 - percent) * total >= (100 + percent) * apart)
-    both = near.select("a", "b").join(end("a", "n", "members"), "a").join(end("b", "n", "members"), "b")
+    near = store(near.select("a", "b"), "near")
+    nodes = store(near.select(F.col("a").alias("node")).union(near.select("b")).distinct(), "near-nodes")
+    sets = _semi(sets, nodes, "node")
+    both = near.join(end("a", "n", "members"), "a").join(end("b", "n", "members"), "b")
     common = F.size(F.array_intersect("members_a", "members_b"))
     return both.filter((100 + percent) * common >= percent * total).select("a", "b")
 
 
-def _between(members: DataFrame, comp: DataFrame, sets: DataFrame, tested: DataFrame, percent: int, small: int) -> DataFrame:
-    """Pairs of nodes that share a bucket, lie in different components and were not tested."""
-    own = members.join(comp, "node", "left").select("key", "node", "n", F.coalesce("component", "node").alias("component"))
-    spread = own.groupBy("key").agg(F.min("component").alias("low"), F.max("component").alias("high"), F.count(F.lit(1)).alias("size"))
-    spread = store(spread.filter("low != high").select("key", "size"), "spread")
-    open_ = store(own.join(spread, "key"), "open")
-
-    def cross(rows: DataFrame) -> DataFrame:
-        other = rows.select("key", F.col("node").alias("b"), F.col("n").alias("n_b"), F.col("component").alias("component_b"))
-        pairs = rows.join(other, "key").filter("component < component_b").filter(100 * F.least("n", "n_b") >= percent * F.greatest("n", "n_b"))
-        return pairs.select(F.least("node", "b").alias("a"), F.greatest("node", "b").alias("b"))
-
-    large = open_.filter(F.col("size") > small)
-    wide = store(large.select("node").distinct().join(sets.select("node", "members"), "node"), "open-sets")
-
-    def second(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            for node, members in zip(batch.column(0).to_pylist(), batch.column(1)):
-                keys = keys_of(members.values.to_numpy().view(np.uint64), percent, level=1)
-                yield _batch(node=pa.array([node] * len(keys), pa.int64()), key2=keys.view(np.int64))
-
-    finer = large.join(wide.mapInArrow(second, "node long, key2 long"), "node").select(F.xxhash64("key", "key2").alias("key"), "node", "n", "component")
-    mixed = finer.groupBy("key").agg(F.min("component").alias("low"), F.max("component").alias("high")).filter("low != high").select("key")
-    pairs = cross(open_.filter(F.col("size") <= small)).union(cross(finer.join(mixed, "key")))
-    return pairs.distinct().join(tested, ["a", "b"], "left_anti")
+def _open(members: DataFrame, comp: DataFrame) -> DataFrame:
+    """The members of buckets of three or more nodes that lie in several components, with these and the bucket's size."""
+    own = members.join(comp, "node", "left").select("key", "node", "n", "lead", F.coalesce("component", "node").alias("component"))
+    spread = own.groupBy("key").agg(F.min("component").alias("low"), F.max("component").alias("high"), F.count(F.lit(1)).alias("size"), F.max(F.when(F.col("node") == F.col("lead"), F.col("component"))).alias("centre"))
+    # the pair of a bucket of two was tested already
+    return own.drop("lead").join(spread.filter("low != high and size > 2").select("key", "size", "centre"), "key")
+
+
+def _between(small: DataFrame, tested: DataFrame, percent: int) -> DataFrame:
+    """Pairs of nodes that share a small bucket, lie in different components and were not tested."""
+    other = small.select("key", F.col("node").alias("b"), F.col("n").alias("n_b"), F.col("component").alias("component_b"))
+    pairs = small.join(other, "key").filter("component < component_b").filter(100 * F.least("n", "n_b") >= percent * F.greatest("n", "n_b"))
+    pairs = pairs.select(F.least("node", "b").alias("a"), F.greatest("node", "b").alias("b")).distinct()
+    return pairs.join(tested, ["a", "b"], "left_anti")
+
+
+def _families(large: DataFrame, sets: DataFrame, percent: int, most: int) -> DataFrame:
+    """Links between components among the nodes of large buckets.
+
+    Components that large buckets hold together are a family. A family is cut into chunks of
+    about ``most`` set members, and each pair of chunks is one task, which compares bit
+    sketches and intersects what these leave; pairs in one component are passed over.
+    """
+    edges = large.filter("component != centre").select(F.col("component").alias("a"), F.col("centre").alias("b"))
+    family = components(edges).toDF("component", "family")
+    nodes = store(family.join(large.select("node", "n", "component").distinct(), "component"), "family-nodes")
+    sets = _semi(sets, nodes.select("node"), "node")
+    chunks = nodes.groupBy("family").agg(F.ceil(F.sum("n") / most).cast("int").alias("chunks"))
+    placed = nodes.join(chunks, "family").withColumn("own", F.pmod(F.xxhash64("node"), F.col("chunks")).cast("int"))
+    placed = placed.join(sets.select("node", "members"), "node")
+    placed = placed.withColumn("other", F.explode(F.sequence(F.lit(0), F.col("chunks") - 1)))
+    task = [F.col("family"), F.least("own", "other").alias("one"), F.greatest("own", "other").alias("two")]
+    return placed.select(*task, "own", "node", "component", "members").groupBy("family", "one", "two").applyInArrow(_compare(percent), "a long, b long")
+
+
+def _compare(percent: int):
+    def run(rows: pa.Table) -> pa.Table:
+        rows = rows.combine_chunks()
+        members = rows.column("members").combine_chunks()
+        flat, ends = members.values.to_numpy().view(np.uint64), members.offsets.to_numpy()
+        size = np.diff(ends)
+        order = np.lexsort((rows.column("node").to_numpy(), size))
+        node, own, size = rows.column("node").to_numpy()[order], rows.column("own").to_numpy()[order], size[order]
+        _, component = np.unique(rows.column("component").to_numpy()[order], return_inverse=True)
+        sets = [flat[ends[i] : ends[i + 1]] for i in order]
+        sketch = np.stack([sketch_of(s) for s in sets])
+        both = rows.column("one")[0].as_py() == rows.column("two")[0].as_py()
+        found = []
+        for i in range(len(sets)):
+            end = int(np.searchsorted(size, 100 * size[i] // percent, "right"))
+            if end <= i + 1:
+                continue
+            near = np.arange(i + 1, end)
+            near = near[(component[near] != component[i]) & (both | (own[near] != own[i]))]
+            apart = np.bitwise_count(sketch[near] ^ sketch[i]).sum(1, dtype=np.int64)
+            near = near[(100 - percent) * (size[near] + size[i]) >= (100 + percent) * apart]
+            for j in near.tolist():
+                if component[i] == component[j]:
+                    continue
+                common = len(np.intersect1d(sets[i], sets[j], assume_unique=True))
+                if (100 + percent) * common >= percent * (size[i] + size[j]):
+                    found.append((node[i], node[j]))
+                    component[component == component[j]] = component[i]
+        ends = np.array(found, np.int64).reshape(-1, 2)
+        return pa.table({"a": ends[:, 0], "b": ends[:, 1]})
+
+    return run
