@@ -6,7 +6,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import jaccard, media, mixing, packing, quality, sharding, substring
+from . import html, jaccard, licenses, media, mixing, packing, quality, sharding, substring, toxicity
 from .text import WORD
 
 TOKENIZER = public_tokenizers.path("word_bpe_49k.json")
@@ -37,11 +37,23 @@ def op5_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return cut.select("doc_id", "n_words", "n_removed", F.sha2("kept_text", 256).alias("kept_sha256"))
 
 
+def op6_html_extraction(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return html.extract(table(spark, sf_dir, "pages"))
+
+
 def op7_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     rated = mixing.rates(table(spark, sf_dir, "documents").select("doc_id", "text", "source"))
     return rated.select("doc_id", "size", "source_size", "target", (F.col("size") * F.col("copies")).alias("taken"))
 
 
+def op8_license_scans(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return licenses.scan(table(spark, sf_dir, "documents"))
+
+
+def op9_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return toxicity.score(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+
+
 def op10_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
     placed = sharding.interleave(table(spark, sf_dir, "documents"))
     return placed.select("doc_id", "size", "text_crc32", F.lit("rows").alias("law"), "shard", "slot", F.lit(None).cast("int").alias("grown_shard"))
@@ -117,7 +129,10 @@ QUERIES = {
     "op3_quality_rules": op3_quality_rules,
     "op4_ngram_jaccard": op4_ngram_jaccard,
     "op5_substring_dedup": op5_substring_dedup,
+    "op6_html_extraction": op6_html_extraction,
     "op7_mixing": op7_mixing,
+    "op8_license_scans": op8_license_scans,
+    "op9_toxicity": op9_toxicity,
     "op10_sharding": op10_sharding,
 }
 
