@@ -2,5 +2,321 @@
 
 from __future__ import annotations
 
-QUERIES: dict = {}
-ORACLE_SQL: dict = {}
+from collections.abc import Callable
+
+from pyspark.sql import DataFrame, SparkSession, Window
+from pyspark.sql import functions as F
+
+from ..functions import columns as C
+from ..operators import chain, measures, spends
+from .adapter import SQL, ins, outs, table, txs
+
+QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
+ORACLE_SQL: dict[str, str] = {}
+FORK = 1200
+
+
+def query(sql: str, views: bool = True):
+    """Register a query under its name with its SQL; ``views`` puts the chain views before it."""
+
+    def add(f):
+        QUERIES[f.__name__] = f
+        ORACLE_SQL[f.__name__] = f"WITH {SQL}{sql}" if views else sql
+        return f
+
+    return add
+
+
+def _linked(s: SparkSession, d: str) -> DataFrame:
+    return spends.link_spends(ins(s, d), outs(s, d))
+
+
+def _fees(s: SparkSession, d: str) -> DataFrame:
+    return spends.tx_fees(ins(s, d), outs(s, d), _linked(s, d))
+
+
+FEES = """, paid AS (SELECT txid, sum(spent_value_sat) AS paid FROM spends GROUP BY 1),
+made AS (SELECT txid, height, sum(value_sat) AS made FROM outs GROUP BY 1, 2), kind AS (SELECT txid, bool_or(prev_txid IS NULL) AS coinbase FROM ins GROUP BY 1),
+fees AS (SELECT txid, height, CAST(CASE WHEN coinbase THEN 0 ELSE greatest(coalesce(paid, 0) - made, 0) END AS BIGINT) AS fee, coinbase FROM made JOIN kind USING (txid) LEFT JOIN paid USING (txid))
+"""
+
+
+@query("SELECT txid, input_index, height, spent_txid, spent_vout, spent_value_sat, spent_address, spent_height FROM spends")
+def spend_link(s, d):
+    return _linked(s, d).select("txid", "input_index", "height", "spent_txid", "spent_vout", "spent_value_sat", "spent_address", "spent_height")
+
+
+@query("SELECT height, count(*) AS n FROM spends WHERE spent_height = height GROUP BY 1")
+def spend_same_block(s, d):
+    return _linked(s, d).filter("spent_height = height").groupBy("height").agg(F.count(F.lit(1)).alias("n"))
+
+
+@query("SELECT (SELECT count(*) FROM ins) AS inputs, (SELECT count(*) FROM ins WHERE prev_txid IS NULL) AS coinbase, (SELECT count(*) FROM spends) AS spends, (SELECT count(*) FROM ins WHERE prev_txid IS NOT NULL) - (SELECT count(*) FROM spends) AS missing")
+def spend_counters(s, d):
+    i = ins(s, d).agg(F.count(F.lit(1)).alias("inputs"), F.count_if(F.col("prev_txid").isNull()).alias("coinbase"))
+    n = _linked(s, d).agg(F.count(F.lit(1)).alias("spends"))
+    return i.crossJoin(n).withColumn("missing", F.col("inputs") - F.col("coinbase") - F.col("spends"))  # one row each
+
+
+@query("SELECT CASE WHEN height = spent_height THEN 'pending' WHEN height - spent_height <= 100 THEN 'recent' ELSE 'old' END AS age, count(*) AS n FROM spends GROUP BY 1")
+def spend_age_class(s, d):
+    age = F.when(F.col("height") == F.col("spent_height"), "pending").when(F.col("height") - F.col("spent_height") <= 100, "recent").otherwise("old")
+    return _linked(s, d).groupBy(age.alias("age")).agg(F.count(F.lit(1)).alias("n"))
+
+
+@query(""", twice AS (SELECT *, 0 AS copy FROM ins UNION ALL SELECT txid, height + 1, tx_index, input_index, prev_txid, prev_vout, 1 FROM ins),
+m AS (SELECT t.*, o.height AS oh, row_number() OVER (PARTITION BY o.txid, o.vout ORDER BY t.height, t.tx_index, t.input_index, t.txid) AS n FROM twice t JOIN outs o ON prev_txid = o.txid AND prev_vout = o.vout AND o.height <= t.height)
+SELECT count(*) FILTER (n = 1) AS spends, count(*) FILTER (n > 1) AS rejected FROM m""")
+def double_spend_rejected(s, d):
+    i = ins(s, d)
+    both = i.unionByName(i.withColumn("height", F.col("height") + 1))
+    o = outs(s, d)
+    found = spends.candidates(both, o).filter("spent_txid is not null").agg(F.count(F.lit(1)).alias("found"))
+    return spends.link_spends(both, o).agg(F.count(F.lit(1)).alias("spends")).crossJoin(found).select("spends", (F.col("found") - F.col("spends")).alias("rejected"))
+
+
+@query(FEES + "SELECT txid, height, fee, coinbase FROM fees")
+def tx_fees(s, d):
+    return _fees(s, d)
+
+
+@query(FEES + "SELECT height, CAST(sum(CASE WHEN coinbase THEN 0 ELSE fee END) AS BIGINT) AS total_fee, count(*) AS tx_count FROM fees GROUP BY 1")
+def block_fees(s, d):
+    return spends.block_fees(_fees(s, d))
+
+
+@query("SELECT txid, bool_or(prev_txid IS NULL) AS coinbase FROM ins GROUP BY 1")
+def coinbase_flag(s, d):
+    return ins(s, d).groupBy("txid").agg(F.bool_or(F.col("prev_txid").isNull()).alias("coinbase"))
+
+
+@query("SELECT height, CAST(sum(CASE WHEN tx_index = 0 THEN value_sat ELSE 0 END) AS BIGINT) AS coinbase_value, count(DISTINCT txid) AS tx_count, count(*) AS output_count, CAST(least(sum(4 * value_sat) + 320, 4294967295) AS BIGINT) AS weight FROM outs GROUP BY 1")
+def block_rollup(s, d):
+    o = outs(s, d)
+    return o.groupBy("height").agg(F.sum(F.when(F.col("tx_index") == 0, F.col("value_sat")).otherwise(0)).alias("coinbase_value"), F.countDistinct("txid").alias("tx_count"), F.count(F.lit(1)).alias("output_count"), F.least(F.sum(4 * F.col("value_sat")) + 320, F.lit(4294967295)).alias("weight"))
+
+
+@query(f"SELECT txid, vout, height, value_sat FROM outs o ANTI JOIN (SELECT spent_txid, spent_vout FROM spends WHERE height <= {FORK}) s ON s.spent_txid = o.txid AND s.spent_vout = o.vout WHERE o.height <= {FORK}")
+def utxo_at_height(s, d):
+    return spends.utxo_at(outs(s, d), _linked(s, d), FORK).select("txid", "vout", "height", "value_sat")
+
+
+@query("SELECT o.height, count(*) AS n FROM outs o WHERE NOT EXISTS (SELECT 1 FROM spends s WHERE s.spent_txid = o.txid AND s.spent_vout = o.vout AND s.height = o.height) GROUP BY 1")
+def net_new_outputs(s, d):
+    return spends.undo(outs(s, d), _linked(s, d)).filter("created > 0").select("height", F.col("created").alias("n"))
+
+
+@query(""", sp AS (SELECT height, count(*) AS spent FROM spends WHERE spent_height < height GROUP BY 1),
+cr AS (SELECT o.height, count(*) AS created FROM outs o WHERE NOT EXISTS (SELECT 1 FROM spends s WHERE s.spent_txid = o.txid AND s.spent_vout = o.vout AND s.height = o.height) GROUP BY 1)
+SELECT coalesce(sp.height, cr.height) AS height, coalesce(spent, 0) AS spent, coalesce(created, 0) AS created FROM sp FULL JOIN cr ON sp.height = cr.height""")
+def block_undo(s, d):
+    return spends.undo(outs(s, d), _linked(s, d))
+
+
+@query(f"SELECT address, CAST(sum(v) AS BIGINT) AS balance_sat FROM (SELECT address, value_sat AS v FROM outs WHERE height <= {FORK} UNION ALL SELECT spent_address, -spent_value_sat FROM spends WHERE height <= {FORK}) GROUP BY 1")
+def address_balance(s, d):
+    return spends.balances(outs(s, d), _linked(s, d), FORK)
+
+
+@query("SELECT txid, vout, value_sat, height FROM outs WHERE address = 7")
+def address_outputs(s, d):
+    return outs(s, d).filter("address = 7").select("txid", "vout", "value_sat", "height")
+
+
+@query("SELECT txid, height, tx_index FROM tx WHERE txid = 101")
+def tx_by_txid(s, d):
+    return txs(s, d).filter("txid = 101").select("txid", "height", "tx_index")
+
+
+@query("SELECT txid, input_index, height FROM spends WHERE spent_vout = 0 AND spent_address = 3")
+def spender_of_output(s, d):
+    return _linked(s, d).filter("spent_vout = 0 and spent_address = 3").select("txid", "input_index", "height")
+
+
+@query("SELECT from_address, o.address AS to_address, CAST(sum(value_sat) AS BIGINT) AS value_sat FROM (SELECT DISTINCT txid, spent_address AS from_address FROM spends) f JOIN outs o USING (txid) GROUP BY 1, 2")
+def coin_flow(s, d):
+    return spends.coin_flow(outs(s, d), _linked(s, d))
+
+
+@query(f"SELECT txid, height, tx_index FROM tx WHERE height >= {FORK} AND height < {FORK + 50}")
+def height_range_scan(s, d):
+    return txs(s, d).filter(f"height >= {FORK} and height < {FORK + 50}").select("txid", "height", "tx_index")
+
+
+@query("SELECT height // 100 AS part, count(*) AS n, min(height) AS low, max(height) AS high FROM tx GROUP BY 1")
+def part_ids(s, d):
+    return txs(s, d).groupBy(C.part_id(F.col("height"), 100).alias("part")).agg(F.count(F.lit(1)).alias("n"), F.min("height").alias("low"), F.max("height").alias("high"))
+
+
+@query("SELECT height, txid, tx_index FROM tx")
+def ordinals(s, d):
+    return chain.ordinals(txs(s, d).select("height", "txid"), "height", "txid").select("height", "txid", F.col("ordinal").cast("long").alias("tx_index"))
+
+
+@query("SELECT height, txid, tx_index FROM tx WHERE height <= 100 QUALIFY row_number() OVER (PARTITION BY height ORDER BY tx_index) <= 3")
+def top3_txs(s, d):
+    return txs(s, d).filter("height <= 100 and tx_index < 3").select("height", "txid", "tx_index")
+
+
+@query("SELECT l_orderkey, l_linenumber, l_partkey FROM lineitem QUALIFY row_number() OVER (PARTITION BY l_orderkey, l_linenumber ORDER BY l_partkey, l_suppkey) = 1", views=False)
+def dedupe_first_seen(s, d):
+    rows = table(s, d, "lineitem").select(F.struct("l_orderkey", "l_linenumber").alias("k"), "l_partkey", "l_suppkey")
+    return chain.first_seen(rows, "k", "l_partkey", "l_suppkey").select("k.l_orderkey", "k.l_linenumber", "l_partkey")
+
+
+@query("""WITH e AS (SELECT event_id, CASE WHEN event_id = (SELECT min(event_id) FROM events) THEN NULL ELSE event_id - 1 END AS prev, 1 + event_id % 7 AS work FROM events)
+SELECT event_id AS hash, row_number() OVER (ORDER BY event_id) - 1 AS height, CAST(sum(work) OVER (ORDER BY event_id) AS BIGINT) AS cum_work FROM e""", views=False)
+def chain_heights(s, d):
+    return chain.rooted(_headers(s, d))
+
+
+def _headers(s: SparkSession, d: str) -> DataFrame:
+    from ..sources.shared import checkpoint_dir
+
+    checkpoint_dir(s)
+    e = table(s, d, "events")
+    low = e.agg(F.min("event_id").alias("low"))
+    return e.crossJoin(F.broadcast(low)).select(F.col("event_id").alias("hash"), F.when(F.col("event_id") > F.col("low"), F.col("event_id") - 1).alias("prev"), (1 + F.col("event_id") % 7).alias("work"))  # one row on the right
+
+
+@query("SELECT max(event_id) AS hash, count(*) - 1 AS height, CAST(sum(1 + event_id % 7) AS BIGINT) AS cum_work FROM events", views=False)
+def best_tip(s, d):
+    return chain.best_tip(chain.rooted(_headers(s, d)))
+
+
+@query("SELECT count(*) AS total_records, count(DISTINCT user_id) AS unique_blocks, count(*) - count(DISTINCT user_id) AS orphans FROM events", views=False)
+def header_stats(s, d):
+    return table(s, d, "events").agg(F.count(F.lit(1)).alias("total_records"), F.countDistinct("user_id").alias("unique_blocks")).withColumn("orphans", F.col("total_records") - F.col("unique_blocks"))
+
+
+@query("SELECT event_id, user_id FROM events WHERE user_id NOT IN (SELECT user_id FROM events WHERE event_type = 'error' AND value > 90)", views=False)
+def orphan_anti(s, d):
+    e = table(s, d, "events")
+    return e.join(e.filter("event_type = 'error' and value > 90").select("user_id").distinct(), "user_id", "left_anti").select("event_id", "user_id")
+
+
+@query("SELECT DISTINCT event_id - k AS event_id FROM events, range(0, 3) r(k) WHERE event_type = 'error'", views=False)
+def stale_branch_walk(s, d):
+    return table(s, d, "events").filter("event_type = 'error'").select("event_id", F.explode(F.sequence(F.lit(0), F.lit(2))).alias("back")).select((F.col("event_id") - F.col("back")).alias("event_id")).distinct()
+
+
+@query("SELECT max(a.event_id) AS fork_height FROM events a JOIN events b ON a.event_id = b.event_id WHERE b.user_id % 3 > 0", views=False)
+def fork_point(s, d):
+    e = table(s, d, "events").select(F.col("event_id").alias("height"), F.col("user_id").alias("hash"))
+    return chain.fork_point(e, e.withColumn("hash", F.when(F.col("hash") % 3 > 0, F.col("hash")).otherwise(-1)))
+
+
+@query("SELECT user_id AS height, max(event_id) AS version FROM events WHERE user_id <= 50 GROUP BY 1", views=False)
+def disconnect_to_fork(s, d):
+    return table(s, d, "events").filter("user_id <= 50").groupBy(F.col("user_id").alias("height")).agg(F.max("event_id").alias("version"))
+
+
+@query("SELECT event_id, value FROM (SELECT event_id, value, max(value) OVER (ORDER BY event_id ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING) AS top FROM events) WHERE top IS NULL OR value > top", views=False)
+def monotone_checkpoints(s, d):
+    return measures.monotone(table(s, d, "events").select("event_id", "value"), "value", "event_id")
+
+
+_POINTS = """, per AS (SELECT height, count(*) AS n FROM tx GROUP BY 1), cum AS (SELECT height, CAST(sum(n) OVER (ORDER BY height) AS BIGINT) AS bytes FROM per),
+p AS (SELECT * FROM cum WHERE height % 100 = 0), g AS (SELECT count(*) AS n, sum(height::DOUBLE) AS sx, sum(bytes::DOUBLE) AS sy, sum(height::DOUBLE * bytes) AS sxy, sum(height::DOUBLE * height) AS sxx FROM p),
+l AS (SELECT n, (sy - (n * sxy - sx * sy) / (n * sxx - sx * sx) * sx) / n AS intercept, greatest((n * sxy - sx * sy) / (n * sxx - sx * sx), 0) AS slope FROM g)
+"""
+
+
+def _points(s: SparkSession, d: str) -> DataFrame:
+    per = txs(s, d).groupBy("height").agg(F.count(F.lit(1)).alias("n"))
+    return per.select("height", F.sum("n").over(Window.orderBy("height").rowsBetween(Window.unboundedPreceding, 0)).alias("bytes")).filter("height % 100 = 0")
+
+
+@query(_POINTS + "SELECT n, round(intercept, 4) AS intercept, round(slope, 4) AS slope FROM l")
+def growth_regression(s, d):
+    return measures.growth_line(_points(s, d), "height", "bytes").select("n", F.round("intercept", 4).alias("intercept"), F.round("slope", 4).alias("slope"))
+
+
+@query(_POINTS + "SELECT CAST(floor(greatest(intercept + slope * 3000, 0)) AS BIGINT) AS projected FROM l")
+def growth_projection(s, d):
+    line = measures.growth_line(_points(s, d), "height", "bytes")
+    return line.select(measures.project(line, 3000).alias("projected"))
+
+
+@query("""WITH t AS (SELECT event_id, CASE WHEN event_id % 50 = 0 THEN 'network n' || user_id ELSE event_id || ' ' || user_id END AS line FROM events),
+c AS (SELECT *, last_value(CASE WHEN line LIKE 'network%' THEN substr(line, 9) END IGNORE NULLS) OVER (ORDER BY event_id) AS section FROM t)
+SELECT section, split_part(line, ' ', 1)::BIGINT AS height, split_part(line, ' ', 2)::BIGINT AS bytes FROM c WHERE line NOT LIKE 'network%'""", views=False)
+def section_carry_forward(s, d):
+    line = F.when(F.col("event_id") % 50 == 0, F.concat(F.lit("network n"), "user_id")).otherwise(F.concat_ws(" ", "event_id", "user_id"))
+    return measures.carried_sections(table(s, d, "events").select("event_id", line.alias("line")), "event_id", "line")
+
+
+@query("SELECT doc_id, sha256(unhex(sha256(text))) AS hash FROM documents", views=False)
+def dsha256_docs(s, d):
+    return table(s, d, "documents").select("doc_id", F.lower(F.hex(C.dsha256(F.col("text").cast("binary")))).alias("hash"))
+
+
+@query("SELECT doc_id, array_to_string(list_reverse(regexp_extract_all(sha256(text), '..')), '') AS shown, sha256(text) AS stored FROM documents", views=False)
+def display_hex(s, d):
+    stored = F.unhex(F.sha2("text", 256))
+    shown = C.display_hex(stored)
+    return table(s, d, "documents").select("doc_id", shown.alias("shown"), F.lower(F.hex(C.from_display_hex(shown))).alias("stored"))
+
+
+@query("SELECT doc_id, ('0x' || array_to_string(list_reverse(regexp_extract_all(substr(sha256(text), 1, 8), '..')), ''))::BIGINT AS value FROM documents", views=False)
+def le_decode(s, d):
+    return table(s, d, "documents").select("doc_id", C.le_uint(F.unhex(F.substring(F.sha2("text", 256), 1, 8))).alias("value"))
+
+
+@query("SELECT doc_id, CASE WHEN n_chars < 253 THEN 1 WHEN n_chars <= 65535 THEN 3 ELSE 5 END AS width, CASE WHEN n_chars < 253 THEN printf('%02X', n_chars) WHEN n_chars <= 65535 THEN printf('FD%02X%02X', n_chars % 256, n_chars // 256) ELSE printf('FE%02X%02X%02X%02X', n_chars % 256, n_chars // 256 % 256, n_chars // 65536 % 256, n_chars // 16777216) END AS encoded FROM documents", views=False)
+def varint_lengths(s, d):
+    n = F.col("n_chars")
+    return table(s, d, "documents").select("doc_id", C.varint_length(n).alias("width"), C.varint_hex(n).alias("encoded"))
+
+
+@query("SELECT l_linenumber AS code, CASE l_linenumber WHEN 0 THEN 'unknown' WHEN 1 THEN 'p2pk' WHEN 2 THEN 'p2pkh' WHEN 3 THEN 'p2sh' WHEN 4 THEN 'p2wpkh' WHEN 5 THEN 'p2wsh' WHEN 6 THEN 'p2tr' WHEN 7 THEN 'multisig' WHEN 8 THEN 'op_return' WHEN 9 THEN 'witness_unknown' ELSE 'unknown' END AS name, count(*) AS n FROM lineitem GROUP BY 1, 2", views=False)
+def script_type_names(s, d):
+    return table(s, d, "lineitem").groupBy(F.col("l_linenumber").alias("code"), C.script_type_name(F.col("l_linenumber")).alias("name")).agg(F.count(F.lit(1)).alias("n"))
+
+
+@query("SELECT doc_id, substr(sha256(text), 1, 40) || repeat('0', 24) AS padded FROM documents", views=False)
+def pad_address(s, d):
+    return table(s, d, "documents").select("doc_id", F.lower(F.hex(C.pad_hash(F.unhex(F.substring(F.sha2("text", 256), 1, 40))))).alias("padded"))
+
+
+@query("SELECT o_orderkey, round(log2(CASE WHEN o_orderkey % 8388608 = 0 THEN 1 ELSE power(2.0, 256 - (log2((o_orderkey % 8388608)::DOUBLE) + 8 * (29 - 3))) END), 6) AS log_work FROM orders", views=False)
+def work_from_bits(s, d):
+    bits = F.lit(29 << 24).cast("long") + F.col("o_orderkey") % 8388608
+    work = C.work_from_bits(bits)
+    return table(s, d, "orders").select("o_orderkey", F.round(F.log2(F.when(work == 0, 1.0).otherwise(work)), 6).alias("log_work"))
+
+
+@query("SELECT event_id, json_extract_string(props, '$.k') AS k, json_extract_string(props, '$.error') IS NULL AS ok FROM events", views=False)
+def json_rpc_envelope(s, d):
+    e = F.from_json("props", "k string, error string")
+    return table(s, d, "events").select("event_id", e["k"].alias("k"), e["error"].isNull().alias("ok"))
+
+
+@query("""WITH r AS (SELECT event_type, value, row_number() OVER (PARTITION BY event_type ORDER BY value) - 1 AS r, count(*) OVER (PARTITION BY event_type) AS n FROM events)
+SELECT event_type, count(*) AS n, max(value) FILTER (r = floor((n - 1) * 0.5 + 0.5)) AS p50, max(value) FILTER (r = floor((n - 1) * 0.99::DOUBLE + 0.5)) AS p99, max(value) AS largest FROM r GROUP BY 1""", views=False)
+def latency_percentiles(s, d):
+    return measures.nearest_rank(table(s, d, "events"), "event_type", "value")
+
+
+@query("SELECT event_type AS stage, round(min(value), 6) AS low, round(median(value), 6) AS mid, round(max(value), 6) AS high FROM events GROUP BY 1", views=False)
+def stage_medians(s, d):
+    return table(s, d, "events").groupBy(F.col("event_type").alias("stage")).agg(F.round(F.min("value"), 6).alias("low"), F.round(F.median("value"), 6).alias("mid"), F.round(F.max("value"), 6).alias("high"))
+
+
+@query("SELECT event_type, round(count(*) / nullif(sum(value), 0), 6) AS per_unit, round(100.0 * count(*) / (SELECT count(*) FROM events), 6) AS share FROM events GROUP BY 1", views=False)
+def rates(s, d):
+    e = table(s, d, "events")
+    own = e.groupBy("event_type").agg(F.count(F.lit(1)).alias("n"), F.sum("value").alias("v"))
+    return own.select("event_type", F.round(F.try_divide("n", "v"), 6).alias("per_unit"), F.round(100.0 * F.col("n") / F.sum("n").over(Window.partitionBy()), 6).alias("share"))
+
+
+@query("SELECT event_id FROM (SELECT event_id, sum(112) OVER (ORDER BY event_id DESC) AS used FROM events) WHERE used <= 11200", views=False)
+def cache_budget_window(s, d):
+    used = F.sum(F.lit(112)).over(Window.orderBy(F.desc("event_id")).rowsBetween(Window.unboundedPreceding, 0))
+    return table(s, d, "events").select("event_id", used.alias("used")).filter("used <= 11200").select("event_id")
+
+
+@query("SELECT user_id FROM events WHERE event_type = 'error' UNION SELECT user_id FROM events WHERE event_type = 'click'", views=False)
+def union_tips(s, d):
+    e = table(s, d, "events")
+    return e.filter("event_type = 'error'").select("user_id").union(e.filter("event_type = 'click'").select("user_id")).distinct()
