@@ -33,6 +33,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql.types import StructType
 
+from .scratch import text_batches
 from .text import slices
 
 _TOKEN = re.compile(r"""<!--.*?(?:-->|\Z)|<(/?)([a-zA-Z][^\s/>]*)((?:[^>"']|"[^"]*"|'[^']*')*)>|<[!?][^>]*>""", re.S)
@@ -247,6 +248,7 @@ def extract(pages: DataFrame, id: str = "page_id", html: str = "html", carry: tu
                 own = [batch.column(i) for i in range(len(out.fields) - 2)]
                 yield pa.RecordBatch.from_arrays([*own, pa.array(texts, pa.string()), pa.array(map(len, texts), pa.int64())], names=out.fieldNames())
 
+    text_batches(pages.sparkSession)
     given = pages.select(id, *carry, pages[html].alias("_html"))
     out = StructType(pages.select(id, *carry).schema.fields + StructType.fromDDL("text string, n_chars long").fields)
     return given.mapInArrow(run, out)

@@ -13,7 +13,7 @@ everything: they are left out unless a node has K - D or more of them, so that e
 keeps a common block with a set bit, or meets in an empty block with its like.
 
 Buckets are resolved without writing out all their pairs: each member is compared with the
-bucket's lead, the node that shares the most blocks; components are formed; only buckets
+strongest lead of its buckets, the node that shares the most blocks; components are formed; only buckets
 that still span several components are looked at again, between their components. Small
 ones give their pairs directly. The nodes of larger ones form families, which are compared
 in chunks of bounded size by bit sketches, without a row per pair; their work is quadratic
@@ -44,7 +44,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from .components import components
-from .scratch import store
+from .scratch import store, text_batches
 from .text import WordHashes, hashed_words, mix, ngrams, slices, utf8
 
 _SKETCH_WORDS = 64  # of 64 bits, for the Hamming test of a pair
@@ -130,7 +130,7 @@ def _over_sets(docs: DataFrame, n: int, make, schema: str, once: bool = False) -
     """``make(ids, nodes, sets)`` -> columns, over docs (id, text). once: a node that this task had lately comes no more."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        hashes, seen = WordHashes(150_000), set()
+        hashes, seen = WordHashes(), set()
         for whole in batches:
             for batch in slices(whole, "text", 1_000_000):
                 sets = sets_of([x or b"" for x in utf8(batch.column(1))], n, hashes)
@@ -152,6 +152,7 @@ def _batch(**columns) -> pa.RecordBatch:
 
 def links_and_groups(docs: DataFrame, id: str = "doc_id", text: str = "text", n: int = 5, percent: int = 80, small: int = 12, family_members: int = 2_000_000, sample_rows: int = 20_000) -> DataFrame:
     """(id, n_shingles, component_id) of each row; component_id is the smallest id of its component."""
+    text_batches(docs.sparkSession)
     docs = docs.select(F.col(id).cast("long").alias("id"), F.col(text).alias("text"))
 
     def base(ids, nodes, sets):
@@ -174,11 +175,12 @@ def links_and_groups(docs: DataFrame, id: str = "doc_id", text: str = "text", n:
     sets = store(_over_sets(wanted, n, full, "node long, n long, members array<long>, sketch array<long>", once=True), "sets")
 
     members = store(_led(members), "led-members")
-    star = store(_star(members), "star")
-    links = store(_linked(star, sets, percent), "links-star")
+    # most links show against the strongest lead; what these join needs no further test
+    tested = store(_first(members), "star")
+    links = store(_linked(tested, sets, percent), "links-star")
     comp = store(components(links), "components")
     open_ = store(_open(members, comp), "open")
-    again = _linked(_between(open_.filter(F.col("size") <= small), star, percent), sets, percent)
+    again = _linked(_between(open_.filter(F.col("size") <= small), tested, percent), sets, percent)
     again = store(again.union(_families(open_.filter(F.col("size") > small), sets, percent, family_members)), "links-between")
     if not again.isEmpty():
         comp = store(components(links.union(again)), "components")
@@ -246,17 +248,15 @@ def _members(docs: DataFrame, total: int, n: int, percent: int, sample_rows: int
 def _led(members: DataFrame) -> DataFrame:
     """members with ``lead``: the bucket's node that shares the most blocks with others, the likely centre."""
     support = members.groupBy("node").agg(F.count(F.lit(1)).alias("support"))
-    lead = F.max(F.struct("support", "node")).over(Window.partitionBy("key", "salt"))["node"]
-    return members.join(support, "node").withColumn("lead", lead).select("key", "salt", "node", "n", "lead")
+    lead = F.max(F.struct("support", "node")).over(Window.partitionBy("key", "salt"))
+    led = members.join(support, "node").withColumn("_lead", lead)
+    return led.select("key", "salt", "node", "n", F.col("_lead.node").alias("lead"), F.col("_lead.support").alias("lead_support"))
 
 
-def _star(members: DataFrame) -> DataFrame:
-    """Pairs of each bucket's lead with its others, over the salts of a key too."""
-    inside = members.filter("node != lead").select("lead", "node")
-    leads = members.filter("salt > 0").select("key", "lead").distinct()
-    top = F.min("lead").over(Window.partitionBy("key"))
-    across = leads.select(top.alias("top"), "lead").filter("top != lead").toDF("lead", "node")
-    return inside.union(across).select(F.least("lead", "node").alias("a"), F.greatest("lead", "node").alias("b")).distinct()
+def _first(members: DataFrame) -> DataFrame:
+    """One pair (a, b) for each node: with the strongest lead of all its buckets."""
+    best = members.groupBy("node").agg(F.max(F.struct("lead_support", "lead"))["lead"].alias("lead")).filter("node != lead")
+    return best.select(F.least("lead", "node").alias("a"), F.greatest("lead", "node").alias("b")).distinct()
 
 
 def _linked(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
@@ -278,11 +278,10 @@ def _linked(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
 
 
 def _open(members: DataFrame, comp: DataFrame) -> DataFrame:
-    """The members of buckets of three or more nodes that lie in several components, with these and the bucket's size."""
+    """The members of buckets that lie in several components, with these and the bucket's size."""
     own = members.join(comp, "node", "left").select("key", "node", "n", "lead", F.coalesce("component", "node").alias("component"))
     spread = own.groupBy("key").agg(F.min("component").alias("low"), F.max("component").alias("high"), F.count(F.lit(1)).alias("size"), F.max(F.when(F.col("node") == F.col("lead"), F.col("component"))).alias("centre"))
-    # the pair of a bucket of two was tested already
-    return own.drop("lead").join(spread.filter("low != high and size > 2").select("key", "size", "centre"), "key")
+    return own.drop("lead").join(spread.filter("low != high").select("key", "size", "centre"), "key")
 
 
 def _between(small: DataFrame, tested: DataFrame, percent: int) -> DataFrame:

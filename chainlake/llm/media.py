@@ -28,6 +28,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql.types import StructType
 
+from .scratch import text_batches
 from .text import slices, utf8
 
 UNIT, RATE, WINDOW, HOP = 192, 8000, 192, 96
@@ -108,6 +109,7 @@ def media_columns(docs: DataFrame, id: str = "doc_id", text: str = "text", keep_
                 columns = [pa.array([r[i] for r in rows], k) for i, k in enumerate(_KINDS[: 9 + keep_media])]
                 yield pa.RecordBatch.from_arrays([batch.column(0), *columns], names=names)
 
+    text_batches(docs.sparkSession)
     given = docs.select(id, docs[text].alias("_text"))
     out = StructType(docs.select(id).schema.fields + StructType.fromDDL(SCHEMA + ", media binary" * keep_media).fields)
     names = out.fieldNames()

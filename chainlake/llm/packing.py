@@ -19,49 +19,84 @@ null id is allowed; an empty table gives an empty table; further columns are ign
 from __future__ import annotations
 
 import os
+import re
 import zlib
+from array import array
 from bisect import bisect_left, insort
 from collections.abc import Iterator
 from dataclasses import dataclass, field
+from functools import lru_cache
 
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from .scratch import store
+from .scratch import store, text_batches
+from .text import slices
+
+
+#: One sign between an ASCII letter and a space, which the tokenizer splits from the letter anyway.
+_SIGN = re.compile(r"(?<=[A-Za-z])([.,;:!?]) ")
 
 
 class Encoded(dict):
     """A run of characters without space or line feed -> its token ids as little-endian bytes.
 
     The vocabulary's tokens never span those two characters, so a text's ids are its runs'
-    ids in turn. It lower-cases, and one sign after a letter is a token of its own, so ASCII
-    runs that differ in these share the work. Forgets everything at ``limit`` entries.
+    ids in turn. It lower-cases, and one sign after a letter is a token of its own, so runs
+    that differ in these share the work. At ``limit`` entries it forgets the longer ones.
     """
 
-    def __init__(self, path: str, limit: int = 400_000):
+    def __init__(self, path: str, limit: int = 300_000):
         super().__init__()
         os.environ.setdefault("TOKENIZERS_PARALLELISM", "false")
         from tokenizers import Tokenizer
 
         self.tokenizer, self.limit = Tokenizer.from_file(path), limit
-
-    def __missing__(self, run: str) -> bytes:
-        if run.isascii() and not run.islower() and run.isalpha():
-            ids = self[run.lower()]
-        elif len(run) > 1 and run[-1] in ".,;:!?" and run[-2].isascii() and run[-2].isalpha():
-            ids = self[run[:-1]] + self[run[-1]]
-        else:
-            ids = np.asarray(self.tokenizer.encode(run, add_special_tokens=False).ids, "<u4").tobytes()
-        if len(run) <= 64:
-            if len(self) >= self.limit:
-                self.clear()
-            self[run] = ids
-        return ids
-
-    def text(self, text: str) -> bytes:
-        return b"".join(map(self.__getitem__, text.replace("\n", " ").split(" ")))
+        ends = [i for token, i in self.tokenizer.get_vocab().items() if token.endswith("</w>")]
+        self.word_end = np.zeros(max(self.tokenizer.get_vocab().values()) + 1, bool)
+        self.word_end[ends] = True
+
+    def texts(self, texts: list[str]) -> list[bytes]:
+        """The ids of each text; runs that are not known yet are encoded together."""
+        parts = [self._runs(t) for t in texts]
+        if len(self) >= self.limit:
+            short = {r: ids for r, ids in self.items() if len(r) <= 7}  # short words come again
+            self.clear()
+            if len(short) < self.limit // 2:
+                self.update(short)
+        new = set().union(*parts) - self.keys()
+        words = [r for r in new if len(r) <= 64 and r.isascii() and r.isalpha()]
+        for i in range(0, len(words), 2000):
+            self._learn_words(words[i : i + 2000])
+        rest = [r for r in new if r not in self]
+        for run, found in zip(rest, self.tokenizer.encode_batch_fast(rest, add_special_tokens=False)):
+            self[run] = array("I", found.ids).tobytes()
+        out = [b"".join(map(self.__getitem__, p)) for p in parts]
+        for run in [r for r in rest if len(r) > 64]:
+            del self[run]
+        return out
+
+    def _runs(self, text: str) -> list[str]:
+        text = text.replace("\n", " ")
+        if text.isascii() and "<|" not in text:  # in capitals, the names of special tokens are ordinary text
+            text = text.lower()
+        return _SIGN.sub(r" \1 ", text).split(" ")
+
+    def _learn_words(self, words: list[str]) -> None:
+        """Words of ASCII letters in one call; each ends with its only token that closes a word."""
+        ids = np.array(self.tokenizer.encode_batch_fast([" ".join(words)], add_special_tokens=False)[0].ids, "<u4")
+        cuts = (np.flatnonzero(self.word_end[ids]) + 1) * 4
+        if len(cuts) == len(words):
+            raw, ends = ids.tobytes(), cuts.tolist()
+            self.update(zip(words, [raw[a:b] for a, b in zip([0, *ends], ends)]))
+
+
+@lru_cache(maxsize=2)
+def _encoded(path: str) -> Encoded:
+    """One for each worker process, so that tasks share what is known."""
+    return Encoded(path)
 
 
 PIECE = "doc_id long, piece int, start long, length long, ids_crc32 long"
@@ -69,21 +104,22 @@ PIECE = "doc_id long, piece int, start long, length long, ids_crc32 long"
 
 def pieces(docs: DataFrame, tokenizer: str, capacity: int = 4096, end_id: int = 1, id: str = "doc_id", text: str = "text") -> DataFrame:
     """One row per piece of a document: ``PIECE``."""
+    text_batches(docs.sparkSession)
     end = np.array([end_id], "<u4").tobytes()
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        encoded = Encoded(tokenizer)
-        for batch in batches:
+        encoded = _encoded(tokenizer)
+        for batch in (part for whole in batches for part in slices(whole, "text")):
             rows: tuple[list, ...] = ([], [], [], [], [])
-            for key, body in zip(batch.column(0).to_pylist(), batch.column(1)):
-                ids = memoryview((encoded.text(body.as_py()) if body.is_valid else b"") + end)
+            for key, own in zip(batch.column(0).to_pylist(), encoded.texts([t or "" for t in batch.column(1).to_pylist()])):
+                ids = memoryview(own + end)
                 for n, at in enumerate(range(0, len(ids), 4 * capacity)):
                     piece = ids[at : at + 4 * capacity]
                     for column, value in zip(rows, (key, n, at // 4, len(piece) // 4, zlib.crc32(piece))):
                         column.append(value)
             yield pa.RecordBatch.from_arrays([pa.array(x, k) for x, k in zip(rows, (pa.int64(), pa.int32(), pa.int64(), pa.int64(), pa.int64()))], names=["doc_id", "piece", "start", "length", "ids_crc32"])
 
-    return docs.select(F.col(id).cast("long"), F.col(text)).mapInArrow(run, PIECE)
+    return docs.select(F.col(id).cast("long"), F.col(text).alias("text")).mapInArrow(run, PIECE)
 
 
 @dataclass(order=True)

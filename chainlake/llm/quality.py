@@ -23,6 +23,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql.types import StructType
 
+from .scratch import text_batches
 from .text import WordHashes, hashed_words, mix, ngrams, room_after, slices, utf8
 
 _SYMBOLS = b"#*$%&|<>"
@@ -165,24 +166,26 @@ def judge(
     docs: DataFrame, id: str = "doc_id", text: str = "text", carry: tuple[str, ...] = (), rules: tuple[Rule, ...] = RULES, min_words: int = 20, sample_rows: int = 2000
 ) -> DataFrame:
     """Base counts and verdict for each row: ``id``, ``carry`` columns, then ``SCHEMA``'s."""
+    text_batches(docs.sparkSession)
     cascade = ordered(rules, measure(docs, rules, text, sample_rows))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         hashes = WordHashes()
         for whole in batches:
-            for batch in slices(whole, "_text"):
-                texts, repeated = _texts(batch, "_text", hashes)
+            for batch in slices(whole, read):
+                texts, repeated = _texts(batch, read, hashes)
                 n = np.array([t.n_words for t in texts], np.int64)
                 failed = (n < min_words) | (100 * repeated > 30 * n)
                 kept = ~failed
                 for rule in cascade:
                     for i in np.flatnonzero(kept):
                         kept[i] = not rule.rejects(texts[i])
-                own = [batch.column(i) for i in range(len(batch.schema.names) - 1)]
+                own = [batch.column(i) for i in range(1 + len(carry))]
                 made = [n, [t.word_chars for t in texts], [t.n_symbols for t in texts], [t.n_dup_lines for t in texts], repeated, failed, kept]
                 kinds = [pa.int64()] * 5 + [pa.bool_()] * 2
                 yield pa.RecordBatch.from_arrays([*own, *(pa.array(x, k) for x, k in zip(made, kinds))], names=out.fieldNames())
 
-    given = docs.select(id, *carry, docs[text].alias("_text"))
+    read = text if text in carry else "_text"
+    given = docs.select(id, *carry, *([] if text in carry else [docs[text].alias(read)]))
     out = StructType(docs.select(id, *carry).schema.fields + StructType.fromDDL(SCHEMA).fields)
     return given.mapInArrow(run, out)

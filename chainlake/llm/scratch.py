@@ -27,6 +27,13 @@ def shared_dir(spark: SparkSession) -> str:
     return spark.sparkContext.getCheckpointDir().rstrip("/")
 
 
+def text_batches(spark: SparkSession, rows: int = 2000) -> None:
+    """Fewer rows in an Arrow batch than Spark's default of 10,000: texts are large, and each task holds a few batches."""
+    key = "spark.sql.execution.arrow.maxRecordsPerBatch"
+    if int(spark.conf.get(key)) > rows:
+        spark.conf.set(key, rows)
+
+
 def store(df: DataFrame, name: str) -> DataFrame:
     """Write ``df`` once and return it as read from the written table."""
     spark = df.sparkSession

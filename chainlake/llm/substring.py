@@ -36,7 +36,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
-from .scratch import store
+from .scratch import store, text_batches
 from .text import WordHashes, hashed_words, ngrams, room_after, slices, utf8
 
 PHRASE = 8
@@ -198,6 +198,7 @@ def cut_repeats(
 
     as_is: a text that loses nothing keeps its white space.
     """
+    text_batches(docs.sparkSession)
     total = docs.count()
     buckets = max(1, -(-total // bucket_rows))
     names = [id, *carry]

@@ -22,7 +22,7 @@ _M0, _M1, _M2 = (np.uint64(x) for x in (0x9E3779B97F4A7C15, 0xD6E8FEB86659FD93,
 class WordHashes(dict):
     """word -> 64-bit hash, forgetting everything at ``limit`` entries so that memory stays bounded."""
 
-    def __init__(self, limit: int = 300_000):
+    def __init__(self, limit: int = 120_000):
         super().__init__()
         self.limit = limit
 

@@ -35,7 +35,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .scratch import store
+from .scratch import store, text_batches
 from .text import ngrams, slices
 
 ORDER, DISCOUNT = 6, 0.75
@@ -190,6 +190,7 @@ def held_out(id: str):
 
 def score(docs: DataFrame, labels: DataFrame, id: str = "doc_id", text: str = "text", label: str = "toxic", fit_rows: int = 12_000) -> DataFrame:
     """(id, held_out, score, predicted) of each row of docs."""
+    text_batches(docs.sparkSession)
     usable = labels.filter(F.col(label).isNotNull() & F.col(id).isNotNull() & ~held_out(id)).groupBy(id).agg(F.max(label).cast("int").alias("y"))
     draw = F.xxhash64(id, F.lit("fit"))
     chosen = usable.filter("y = 1").orderBy(draw, id).limit(fit_rows // 3).union(usable.filter("y = 0").orderBy(draw, id).limit(fit_rows - fit_rows // 3))
