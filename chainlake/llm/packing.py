@@ -19,9 +19,8 @@ null id is allowed; an empty table gives an empty table; further columns are ign
 from __future__ import annotations
 
 import os
-import re
+import uuid
 import zlib
-from array import array
 from bisect import bisect_left, insort
 from collections.abc import Iterator
 from dataclasses import dataclass, field
@@ -29,6 +28,7 @@ from functools import lru_cache
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -36,66 +36,101 @@ from .scratch import store, text_batches
 from .text import slices
 
 
-#: One sign between an ASCII letter and a space, which the tokenizer splits from the letter anyway.
-_SIGN = re.compile(r"(?<=[A-Za-z])([.,;:!?]) ")
+_SIGNS = frozenset(".,;:!?")
+_MARK = "\x01"
 
 
-class Encoded(dict):
-    """A run of characters without space or line feed -> its token ids as little-endian bytes.
+class Encoded:
+    """Token ids of texts, by runs of characters without space or line feed.
 
     The vocabulary's tokens never span those two characters, so a text's ids are its runs'
-    ids in turn. It lower-cases, and one sign after a letter is a token of its own, so runs
-    that differ in these share the work. At ``limit`` entries it forgets the longer ones.
+    ids in turn. A batch's distinct runs are looked up once; those that are not known yet are
+    encoded together, thousands in a call. What is known lives in two generations of at most
+    ``limit`` runs: a run that is met again moves to the younger, the older is forgotten.
     """
 
-    def __init__(self, path: str, limit: int = 300_000):
-        super().__init__()
+    def __init__(self, path: str, limit: int = 250_000):
         os.environ.setdefault("TOKENIZERS_PARALLELISM", "false")
-        from tokenizers import Tokenizer
+        from tokenizers import Tokenizer, pre_tokenizers
 
         self.tokenizer, self.limit = Tokenizer.from_file(path), limit
-        ends = [i for token, i in self.tokenizer.get_vocab().items() if token.endswith("</w>")]
-        self.word_end = np.zeros(max(self.tokenizer.get_vocab().values()) + 1, bool)
-        self.word_end[ends] = True
+        self.young: dict[str, bytes] = {"": b""}
+        self.old: dict[str, bytes] = {}
+        (self.mark,) = self.tokenizer.encode(_MARK, add_special_tokens=False).ids
+        # words of small ASCII letters need neither the normaliser nor the splitting pattern
+        self.letters = Tokenizer.from_file(path)
+        self.letters.normalizer, self.letters.pre_tokenizer = None, pre_tokenizers.WhitespaceSplit()
+        vocab = self.tokenizer.get_vocab()
+        self.closes = np.zeros(max(vocab.values()) + 1, bool)
+        self.closes[[i for token, i in vocab.items() if token.endswith("</w>")]] = True
 
     def texts(self, texts: list[str]) -> list[bytes]:
-        """The ids of each text; runs that are not known yet are encoded together."""
-        parts = [self._runs(t) for t in texts]
-        if len(self) >= self.limit:
-            short = {r: ids for r, ids in self.items() if len(r) <= 7}  # short words come again
-            self.clear()
-            if len(short) < self.limit // 2:
-                self.update(short)
-        new = set().union(*parts) - self.keys()
-        words = [r for r in new if len(r) <= 64 and r.isascii() and r.isalpha()]
-        for i in range(0, len(words), 2000):
-            self._learn_words(words[i : i + 2000])
-        rest = [r for r in new if r not in self]
-        for run, found in zip(rest, self.tokenizer.encode_batch_fast(rest, add_special_tokens=False)):
-            self[run] = array("I", found.ids).tobytes()
-        out = [b"".join(map(self.__getitem__, p)) for p in parts]
-        for run in [r for r in rest if len(r) > 64]:
-            del self[run]
-        return out
-
-    def _runs(self, text: str) -> list[str]:
+        """The ids of each text as little-endian bytes."""
+        runs = pc.split_pattern(pa.array(map(self._clean, texts), pa.large_string(), size=len(texts)), " ")
+        coded = runs.flatten().dictionary_encode()
+        ids = pa.array(self._known(coded.dictionary.to_numpy(zero_copy_only=False).tolist()), pa.large_binary()).take(coded.indices)
+        _, ends, raw = ids.buffers()
+        ends = np.frombuffer(ends, np.int64)[runs.offsets.to_numpy()].tolist()
+        raw = raw.to_pybytes()
+        return [raw[a:b] for a, b in zip(ends, ends[1:])]
+
+    @staticmethod
+    def _clean(text: str) -> str:
         text = text.replace("\n", " ")
-        if text.isascii() and "<|" not in text:  # in capitals, the names of special tokens are ordinary text
-            text = text.lower()
-        return _SIGN.sub(r" \1 ", text).split(" ")
-
-    def _learn_words(self, words: list[str]) -> None:
-        """Words of ASCII letters in one call; each ends with its only token that closes a word."""
-        ids = np.array(self.tokenizer.encode_batch_fast([" ".join(words)], add_special_tokens=False)[0].ids, "<u4")
-        cuts = (np.flatnonzero(self.word_end[ids]) + 1) * 4
-        if len(cuts) == len(words):
-            raw, ends = ids.tobytes(), cuts.tolist()
-            self.update(zip(words, [raw[a:b] for a, b in zip([0, *ends], ends)]))
-
-
-@lru_cache(maxsize=2)
-def _encoded(path: str) -> Encoded:
-    """One for each worker process, so that tasks share what is known."""
+        # the tokenizer lower-cases; in capitals, the names of special tokens are ordinary text
+        return text.lower() if text.isascii() and "<|" not in text else text
+
+    def _known(self, runs: list[str]) -> list[bytes]:
+        """The ids of each of these distinct runs."""
+        young, old = self.young, self.old
+        found = dict(zip(runs, map(young.get, runs)))
+        new, bases = [], {}
+        for r in [r for r, ids in found.items() if ids is None]:
+            if r in old:
+                found[r] = young[r] = old[r]
+            elif r[-1] in _SIGNS and r[-2:-1].isascii() and r[-2:-1].isalpha():
+                bases[r] = r[:-1]  # one sign after an ASCII letter is a token of its own: learn the word without it
+            else:
+                new.append(r)
+        parts = {r: found.get(r) or young.get(r) or old.get(r) for r in [*bases.values(), *_SIGNS]} if bases else {}
+        parts |= self._learn(list(dict.fromkeys([*new, *(r for r, ids in parts.items() if not ids)])))
+        for r, base in bases.items():
+            found[r] = young[r] = parts[base] + parts[r[-1]]
+        for r in new:
+            found[r] = parts[r]
+            if len(r) <= 64:
+                young[r] = parts[r]
+        if len(young) > self.limit:
+            self.young, self.old = {"": b""}, young
+        return list(found.values())
+
+    def _learn(self, runs: list[str], together: int = 2000) -> dict[str, bytes]:
+        learned: dict[str, bytes] = {}
+
+        def add(part: list[str], tokenizer, text: str, ends, gap: int) -> None:
+            """The ids of ``part`` within those of ``text``; each run's end at ``ends``, ``gap`` ids after it left out."""
+            ids = np.array(tokenizer.encode_batch_fast([text], add_special_tokens=False)[0].ids, "<u4")
+            cuts, raw = np.flatnonzero(ends(ids)) + 1, ids.tobytes()
+            starts = [0, *(4 * cuts).tolist()]
+            learned.update(zip(part, [raw[a:b] for a, b in zip(starts, (4 * (cuts - gap)).tolist())], strict=True))
+
+        words = [r for r in runs if r.isascii() and r.isalpha() and r.islower()]
+        for i in range(0, len(words), together):
+            part = words[i : i + together]
+            add(part, self.letters, " ".join(part), self.closes.__getitem__, 0)
+        marked = [r for r in runs if r not in learned and _MARK not in r and "<|" not in r]
+        for i in range(0, len(marked), together):
+            part = marked[i : i + together]
+            add(part, self.tokenizer, f" {_MARK} ".join([*part, ""]), lambda ids: ids == self.mark, 1)
+        rest = [r for r in runs if r not in learned]
+        for r, e in zip(rest, self.tokenizer.encode_batch_fast(rest, add_special_tokens=False)):
+            learned[r] = np.array(e.ids, "<u4").tobytes()
+        return learned
+
+
+@lru_cache(maxsize=1)
+def _encoded(path: str, call: str) -> Encoded:
+    """One for each worker process and call of :func:`pieces`: its tasks share what is known, no other call does."""
     return Encoded(path)
 
 
@@ -105,11 +140,11 @@ PIECE = "doc_id long, piece int, start long, length long, ids_crc32 long"
 def pieces(docs: DataFrame, tokenizer: str, capacity: int = 4096, end_id: int = 1, id: str = "doc_id", text: str = "text") -> DataFrame:
     """One row per piece of a document: ``PIECE``."""
     text_batches(docs.sparkSession)
-    end = np.array([end_id], "<u4").tobytes()
+    end, call = np.array([end_id], "<u4").tobytes(), uuid.uuid4().hex
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        encoded = _encoded(tokenizer)
-        for batch in (part for whole in batches for part in slices(whole, "text")):
+        encoded = _encoded(tokenizer, call)
+        for batch in (part for whole in batches for part in slices(whole, "text", 16_000_000)):
             rows: tuple[list, ...] = ([], [], [], [], [])
             for key, own in zip(batch.column(0).to_pylist(), encoded.texts([t or "" for t in batch.column(1).to_pylist()])):
                 ids = memoryview(own + end)
