@@ -44,7 +44,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from .components import components
-from .scratch import store, text_batches
+from .scratch import drop, release, store, text_batches
 from .text import WordHashes, hashed_words, mix, ngrams, slices, utf8
 
 _SKETCH_WORDS = 64  # of 64 bits, for the Hamming test of a pair
@@ -161,6 +161,7 @@ def links_and_groups(docs: DataFrame, id: str = "doc_id", text: str = "text", n:
     rows = store(_over_sets(docs, n, base, "id long, n_shingles long, node long"), "sets-base")
     first = rows.filter("node is not null").groupBy("node").agg(F.min("id").alias("first_id"))
     members = store(_members(docs, rows.count(), n, percent, sample_rows), "bucket-members")
+    release(docs.sparkSession)
 
     nodes = members.select("node").distinct()
     texts = rows.filter("id is not null").join(nodes, "node").groupBy("node").agg(F.min("id").alias("id")).select("id")
@@ -174,12 +175,14 @@ def links_and_groups(docs: DataFrame, id: str = "doc_id", text: str = "text", n:
     wanted = _semi(docs, store(texts, "wanted"), "id").unionByName(null_ids)
     sets = store(_over_sets(wanted, n, full, "node long, n long, members array<long>, sketch array<long>", once=True), "sets")
 
-    members = store(_led(members), "led-members")
+    plain, members = members, store(_led(members), "led-members")
+    drop(plain)
     # most links show against the strongest lead; what these join needs no further test
     tested = store(_first(members), "star")
     links = store(_linked(tested, sets, percent), "links-star")
     comp = store(components(links), "components")
     open_ = store(_open(members, comp), "open")
+    drop(members)
     again = _linked(_between(open_.filter(F.col("size") <= small), tested, percent), sets, percent)
     again = store(again.union(_families(open_.filter(F.col("size") > small), sets, percent, family_members)), "links-between")
     if not again.isEmpty():

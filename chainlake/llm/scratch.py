@@ -8,6 +8,7 @@ through Spark only, so any Hadoop file system works.
 from __future__ import annotations
 
 import atexit
+import gc
 import tempfile
 import uuid
 
@@ -43,13 +44,20 @@ def store(df: DataFrame, name: str) -> DataFrame:
     return spark.read.schema(df.schema).parquet(path)
 
 
-def drop(df: DataFrame) -> None:
-    """Delete tables that :func:`store` wrote, once nothing reads them any more."""
-    spark = df.sparkSession
-    files = df.inputFiles()
-    for item in [x for x in _made if any(x[1].split("/")[-1] in f for f in files)]:
-        _delete(*item)
-        _made.remove(item)
+def drop(*tables: DataFrame) -> None:
+    """Delete tables that :func:`store` wrote, once nothing reads them any more, and shuffles that nothing refers to."""
+    for df in tables:
+        files = df.inputFiles()
+        for item in [x for x in _made if any(x[1].split("/")[-1] in f for f in files)]:
+            _delete(*item)
+            _made.remove(item)
+    release(tables[0].sparkSession)
+
+
+def release(spark: SparkSession) -> None:
+    """Have the driver's JVM notice plans that are gone: executors keep a shuffle's files until it does."""
+    gc.collect()
+    spark.sparkContext._jvm.System.gc()
 
 
 def _delete(spark: SparkSession, path: str) -> None:
