@@ -12,6 +12,9 @@ band if a partner there can reach the similarity. Blocks without a set bit would
 everything: they are left out unless a node has K - D or more of them, so that each pair
 keeps a common block with a set bit, or meets in an empty block with its like.
 
+A node with e empty blocks shares K - D - e filled ones with every partner. It leaves out its
+K - D - e - 1 most frequent keys: passages that many texts share then hold no buckets together.
+
 Buckets are resolved without writing out all their pairs: each member is compared with the
 strongest lead of its buckets, the node that shares the most blocks; components are formed; only buckets
 that still span several components are looked at again, between their components. Small
@@ -91,15 +94,20 @@ def _spread(x: np.ndarray) -> np.ndarray:
     return mix(x, np.full(len(x), 0x5851F42D4C957F2D, np.uint64))
 
 
-def keys_of(members: np.ndarray, percent: int) -> np.ndarray:
-    """The join keys of a set: one for each block with a set bit, in its band and perhaps the next."""
+def keys_of(members: np.ndarray, percent: int) -> tuple[np.ndarray, np.ndarray]:
+    """The join keys of a set: one for each block with a set bit, in its band and perhaps the next.
+
+    Also each key's ``place``: 0 or 1 for the band, plus twice the number of its most frequent
+    keys that the node can do without there.
+    """
     tops, most, blocks = _bands(percent)
     n = len(members)
+    none = np.empty(0, np.uint64), np.empty(0, np.int32)
     if not n:
-        return np.empty(0, np.uint64)
-    high, bits = members >> np.uint64(32), _spread(members & np.uint64(0xFFFF))
+        return none
+    high, bits = members >> np.uint64(32), _spread(members & np.uint64(0xFFFFFFFF))
     own = int(np.searchsorted(tops, n))
-    found = []
+    found, places = [], []
     for band in (own, own + 1):
         if band > own and 100 * n // percent <= tops[own]:
             continue
@@ -112,11 +120,13 @@ def keys_of(members: np.ndarray, percent: int) -> np.ndarray:
         tag = np.uint64(band << 32)
         filled = content != 0
         keys = mix(content[filled], block[filled] + tag)
+        spare = max(0, len(keys) - most[band] - 1)  # a partner shares spare + 1 of these keys at least
         if k - len(keys) >= k - most[band]:
             empty = np.setdiff1d(np.arange(k, dtype=np.uint64), block[filled])
             keys = np.concatenate([keys, mix(np.full(len(empty), 0xE, np.uint64), empty + tag)])
         found.append(keys)
-    return np.concatenate(found) if found else np.empty(0, np.uint64)
+        places.append(np.full(len(keys), 2 * spare + band - own, np.int32))
+    return (np.concatenate(found), np.concatenate(places)) if found else none
 
 
 def sketch_of(members: np.ndarray) -> np.ndarray:
@@ -162,6 +172,8 @@ def links_and_groups(docs: DataFrame, id: str = "doc_id", text: str = "text", n:
     first = rows.filter("node is not null").groupBy("node").agg(F.min("id").alias("first_id"))
     members = store(_members(docs, rows.count(), n, percent, sample_rows), "bucket-members")
     release(docs.sparkSession)
+    plain, members = members, store(_needed(members), "needed-members")
+    drop(plain)
 
     nodes = members.select("node").distinct()
     texts = rows.filter("id is not null").join(nodes, "node").groupBy("node").agg(F.min("id").alias("id")).select("id")
@@ -211,7 +223,7 @@ def _semi(rows: DataFrame, ids: DataFrame, on: str, broadcast_rows: int = 1_000_
     return rows.join(side, on, "left_semi")
 
 
-_KEYS = "key long, node long, n int, salt int"
+_KEYS = "key long, node long, n int, salt int, place int"
 
 
 def _members(docs: DataFrame, total: int, n: int, percent: int, sample_rows: int) -> DataFrame:
@@ -219,7 +231,7 @@ def _members(docs: DataFrame, total: int, n: int, percent: int, sample_rows: int
 
     def keyed(heavy):
         def make(ids, nodes, sets):
-            keys = [keys_of(s, percent) for s in sets]
+            keys, places = zip(*[keys_of(s, percent) for s in sets]) if sets else ((), ())
             lens = list(map(len, keys))
             if not sum(lens):
                 return
@@ -229,9 +241,9 @@ def _members(docs: DataFrame, total: int, n: int, percent: int, sample_rows: int
             if heavy is not None and len(heavy.value):
                 at = np.minimum(np.searchsorted(heavy.value, key), len(heavy.value) - 1)
                 salt = np.where(heavy.value[at] == key, 1 + (node % _SALTS), 0).astype(np.int32)
-            size = np.repeat(np.array(list(map(len, sets)), np.int32), lens)
+            size, place = np.repeat(np.array(list(map(len, sets)), np.int32), lens), np.concatenate(places)
             for i in range(0, len(key), 100_000):
-                yield _batch(key=key[i : i + 100_000], node=node[i : i + 100_000], n=size[i : i + 100_000], salt=salt[i : i + 100_000])
+                yield _batch(key=key[i : i + 100_000], node=node[i : i + 100_000], n=size[i : i + 100_000], salt=salt[i : i + 100_000], place=place[i : i + 100_000])
 
         return make
 
@@ -245,7 +257,19 @@ def _members(docs: DataFrame, total: int, n: int, percent: int, sample_rows: int
     keys = _over_sets(docs, n, keyed(sent), _KEYS, once=True)
     bucket = Window.partitionBy("key", "salt")
     spans = keys.withColumns({"low": F.min("node").over(bucket), "high": F.max("node").over(bucket)})
-    return spans.filter("salt > 0 or low < high").select("key", "salt", "node", "n").distinct()
+    return spans.filter("salt > 0 or low < high").select("key", "salt", "node", "n", "place").distinct()
+
+
+def _needed(members: DataFrame) -> DataFrame:
+    """members without the most frequent keys of each node and band that no pair needs.
+
+    In the order of frequency, the rarest of a linked pair's s + 1 common keys has s of them
+    above it on both sides, so each side may leave out its last s and the pair still meets.
+    """
+    often = members.groupBy("key").agg(F.count(F.lit(1)).alias("often"))
+    last = Window.partitionBy("node", "place").orderBy(F.desc("often"), F.desc("key"))
+    ranked = members.join(often, "key").withColumn("last", F.row_number().over(last))
+    return ranked.filter(F.col("last") > F.floor(F.col("place") / 2)).select("key", "salt", "node", "n").distinct()
 
 
 def _led(members: DataFrame) -> DataFrame:
