@@ -1,33 +1,38 @@
 """Removal of repeated passages with Aho-Corasick automata (operator 5).
 
 A window is ``width`` consecutive words. Every word that lies in a window whose words also
-start earlier (smaller id, or same id and smaller start) is removed; windows are judged on
-the input.
+start earlier (smaller id, or same id and smaller start, or both the same in another text of
+that id that is placed before this one) is removed; windows are judged on the input.
 
 1. Anchors: in each window the 8-word phrase of least hash. Equal windows have equal
    anchors, so a window can only recur if its anchor does. About one phrase in seven is an
    anchor; their counts over the whole corpus confirm the recurring ones.
-2. Documents are dealt to buckets of about ``bucket_rows`` by a hash of the id. Each bucket
+2. Documents are dealt to buckets of about ``bucket_rows`` by a hash of id and text. Each bucket
    gets its recurring phrases, compiles them to an automaton (over word numbers), and
    streams its documents through it, which locates every occurrence. The windows around an
    occurrence are the only ones that can recur.
 3. These windows' hashes meet, each with the least (id, start) of its bucket only; what is
    not the least of all is removed. The texts are read by bucket again and cut.
 
+Copies, windows and cuts belong to a row, known by its bucket and its place among the
+bucket's (id, text) in order; the id alone only says what is earlier.
+
 A passage that a third of all documents share meets as one row a bucket, not one a
 document; anchors that many rows of a bounded sample hold are known to recur and are not
 gathered by their hash. Texts that equal an earlier text as a whole are settled by their
 SHA-256 beforehand: with ``width`` words or more nothing of them stays.
 
 Edge cases: a null text has no words; texts of fewer than ``width`` words lose nothing; rows
-with equal ids count as one document (equal starts are not "earlier"); a null id comes
-after all others; an empty table gives an empty table; columns that are not carried are
-ignored. Hashes of phrases and windows have 64 bits.
+with equal id and text are one document and get equal answers, null ids too; different texts
+of one id, or of null ids, are documents of their own; a null id comes after all others; an
+empty table gives an empty table; columns that are not carried are ignored. Hashes of
+phrases and windows have 64 bits.
 """
 
 from __future__ import annotations
 
 from collections.abc import Iterator
+from hashlib import sha256
 from itertools import compress
 
 import numpy as np
@@ -89,7 +94,7 @@ def _recurring(dealt: DataFrame, total: int, width: int, sample_rows: int) -> Da
     schema = "hash long, bucket int, n int, salt int"
     texts = dealt.select("_bucket", "_text")
     every = max(1, -(-total // sample_rows))
-    sample = dealt.filter(F.pmod(F.xxhash64("_order", F.lit("heavy")), F.lit(every)) == 0).select("_bucket", "_text")
+    sample = dealt.filter(F.pmod(F.xxhash64("_order", "_text", F.lit("heavy")), F.lit(every)) == 0).select("_bucket", "_text")
     least = max(50, sample_rows // 200)
     found = sample.mapInArrow(counted(None), schema).groupBy("hash").agg(F.sum("n").alias("n")).filter(F.col("n") >= least)
     heavy = np.sort(np.array([r[0] for r in found.select("hash").collect()], np.int64))  # at most (anchors of the sample) / least
@@ -100,10 +105,24 @@ def _recurring(dealt: DataFrame, total: int, width: int, sample_rows: int) -> Da
 
 
 def _copies(dealt: DataFrame) -> DataFrame:
-    """(bucket, order) of the rows whose whole text an earlier id has."""
+    """(bucket, order, sha) of the rows whose whole text an earlier id has."""
     texts = dealt.filter("_text is not null").select("_bucket", "_order", F.unhex(F.sha2("_text", 256)).alias("sha"))
     first = texts.groupBy("sha").agg(F.min("_order").alias("low"), F.max("_order").alias("high")).filter("low < high")
-    return texts.join(first, "sha").filter("_order > low").select(F.col("_bucket").alias("bucket"), "_order").distinct()
+    return texts.join(first, "sha").filter("_order > low").select(F.col("_bucket").alias("bucket"), F.col("_order").alias("order"), "sha").distinct()
+
+
+def _places(orders: np.ndarray, texts: list[bytes | None]) -> np.ndarray:
+    """The place of each row among the different (order, text) of its bucket."""
+    keys = [(o, x or b"") for o, x in zip(orders.tolist(), texts)]
+    place = {k: i for i, k in enumerate(sorted(set(keys)))}
+    return np.fromiter((place[k] for k in keys), np.int64, len(keys))
+
+
+def _is_copy(told: pa.Table, orders: np.ndarray, texts: list[bytes | None]) -> list[bool]:
+    """Which rows the told (order, sha) name."""
+    copies = set(zip(told.column("order").combine_chunks().drop_null().to_pylist(), told.column("sha").combine_chunks().drop_null().to_pylist()))
+    ids = {o for o, _ in copies}
+    return [o in ids and (o, sha256(x or b"").digest()) in copies for o, x in zip(orders.tolist(), texts)]
 
 
 def _phrases(flat: np.ndarray, lens: np.ndarray, known: np.ndarray, width: int) -> np.ndarray:
@@ -134,29 +153,37 @@ def _phrases(flat: np.ndarray, lens: np.ndarray, known: np.ndarray, width: int)
 
 
 def _windows(width: int):
-    """Of one bucket: windows that can recur; ``known`` ones come after another of this bucket."""
+    """Of one bucket: windows that can recur; ``known`` ones come after another of this bucket.
+
+    ``at`` is the start above 32 bits of the row's place; a copy is one known window of start -1.
+    """
 
     def run(docs: pa.Table, told: pa.Table) -> pa.Table:
-        order = told.column("order").combine_chunks()
-        copies = set(order.drop_null().to_pylist())
         known = told.column("hash").combine_chunks().drop_null().to_numpy().view(np.uint64)
         docs = docs.combine_chunks()
         orders = docs.column("_order").to_numpy()
-        fresh = [i for i, x in enumerate(orders.tolist()) if x not in copies] if len(known) else []
-        texts = utf8(docs.column("_text").combine_chunks().take(pa.array(fresh, pa.int64())))
-        flat, lens = hashed_words([(x or b"").split() for x in texts], WordHashes())
+        texts = utf8(docs.column("_text").combine_chunks()) if told.num_rows else []
+        places = _places(orders[: len(texts)], texts)
+        copy = np.array(_is_copy(told, orders[: len(texts)], texts), bool)
+        fresh = np.flatnonzero(~copy) if len(known) else np.empty(0, np.int64)
+        flat, lens = hashed_words([(texts[i] or b"").split() for i in fresh.tolist()], WordHashes())
         start = _phrases(flat, lens, known, width)
         ends = np.cumsum(lens)
         text = np.searchsorted(ends, start, "right")
         hashed = ngrams(flat, width)[start] if len(start) else np.empty(0, np.uint64)
-        own = orders[np.array(fresh, np.int64)][text] if len(start) else np.empty(0, np.int64)
-        begin = start - (ends - lens)[text] if len(start) else start
-        rank = np.lexsort((begin, own, hashed))
-        hashed, own, begin = hashed[rank], own[rank], begin[rank]
+        row = fresh[text] if len(start) else np.empty(0, np.int64)
+        own, at = orders[row], places[row]
+        if len(start):
+            at = at | (start - (ends - lens)[text]) << 32
+        rank = np.lexsort((at, own, hashed))
+        hashed, own, at = hashed[rank], own[rank], at[rank]
         first = np.concatenate([[True], hashed[1:] != hashed[:-1]])[: len(hashed)]
         lead = np.maximum.accumulate(np.where(first, np.arange(len(first)), 0))
-        later = (own != own[lead]) | (begin != begin[lead])
-        return pa.table({"bucket": pa.array(np.full(len(own), docs.column("_bucket")[0].as_py() if docs.num_rows else 0, np.int32)), "hash": hashed.view(np.int64), "order": own, "start": begin.astype(np.int32), "known": later})
+        later = at != at[lead]
+        whole = np.unique(places[copy])
+        found = {"hash": [hashed.view(np.int64), whole], "order": [np.where(later, 0, own), 0 * whole], "at": [at, whole | -1 << 32], "known": [later, whole >= 0]}
+        n = len(later) + len(whole)
+        return pa.table({"bucket": np.full(n, docs.column("_bucket")[0].as_py() if docs.num_rows else 0, np.int32)} | {k: np.concatenate(v) for k, v in found.items()})
 
     return run
 
@@ -165,13 +192,15 @@ def _cut(width: int, names: list[str], as_is: bool):
     """Of one bucket: its rows with what is left of their texts."""
 
     def run(docs: pa.Table, told: pa.Table) -> pa.Table:
-        order, start = told.column("order").to_numpy(), told.column("start").to_numpy()
-        rank = np.argsort(order, kind="stable")
-        order, start = order[rank], start[rank]
+        at = told.column("at").to_numpy()
+        place, start = at & 0xFFFFFFFF, at >> 32
+        rank = np.argsort(place, kind="stable")
+        place, start = place[rank], start[rank]
+        orders, texts = docs.column("_order").to_numpy(), utf8(docs.column("_text").combine_chunks())
         total, gone, kept = [], [], []
-        for own, text in zip(docs.column("_order").to_numpy().tolist(), utf8(docs.column("_text").combine_chunks())):
+        for own, text in zip(_places(orders, texts).tolist(), texts):
             words = (text or b"").split()
-            a, b = np.searchsorted(order, own), np.searchsorted(order, own, "right")
+            a, b = np.searchsorted(place, own), np.searchsorted(place, own, "right")
             if a < b and len(words) >= width:
                 if start[a:b].min() < 0:
                     left = []
@@ -203,17 +232,17 @@ def cut_repeats(
     buckets = max(1, -(-total // bucket_rows))
     names = [id, *carry]
     dealt = docs.select(*names, F.col(text).alias("_text"), _order(id).alias("_order"))
-    dealt = dealt.withColumn("_bucket", F.pmod(F.xxhash64("_order"), F.lit(buckets)).cast("int"))
+    dealt = dealt.withColumn("_bucket", F.pmod(F.xxhash64("_order", "_text"), F.lit(buckets)).cast("int"))
     copies = store(_copies(dealt), "copies")
     phrases = store(_recurring(dealt, total, width, sample_rows), "phrases")
 
     none = lambda kind: F.lit(None).cast(kind)
-    told = phrases.select("bucket", "hash", none("long").alias("order")).union(copies.select("bucket", none("long"), "_order"))
+    told = phrases.select("bucket", "hash", none("long").alias("order"), none("binary").alias("sha")).union(copies.select("bucket", none("long"), "order", "sha"))
     # the same exchange of the texts serves both cogroups
-    found = dealt.groupBy("_bucket").cogroup(told.groupBy("bucket")).applyInArrow(_windows(width), "bucket int, hash long, order long, start int, known boolean")
+    found = dealt.groupBy("_bucket").cogroup(told.groupBy("bucket")).applyInArrow(_windows(width), "bucket int, hash long, order long, at long, known boolean")
     salt = F.when(F.col("known"), F.col("bucket") + 1).otherwise(0)
-    least = F.min(F.struct("order", "start")).over(Window.partitionBy("hash", salt))
-    later = found.withColumn("least", least).filter("known or order != least.order or start != least.start").select("bucket", "order", "start")
-    gone = later.union(copies.select("bucket", "_order", F.lit(-1)))
+    own = F.struct("order", "at", "bucket")
+    least = F.min(own).over(Window.partitionBy("hash", salt))
+    gone = found.withColumn("least", least).filter(F.col("known") | (own != F.col("least"))).select("bucket", "at")
     out = StructType(docs.select(*names).schema.fields + StructType.fromDDL("n_words long, n_removed long, kept_text string").fields)
     return dealt.groupBy("_bucket").cogroup(gone.groupBy("bucket")).applyInArrow(_cut(width, names, as_is), out)

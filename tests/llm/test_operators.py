@@ -143,6 +143,25 @@ def test_substring(spark, rows):
     assert len(got) == len(rows) and all(want[r["doc_id"]] == (r["n_words"], r["n_removed"], r["kept_text"]) for r in got)
 
 
+def test_substring_rows_of_one_id(spark):
+    rng = random.Random(6)
+    words = lambda n: ["".join(rng.choices("abcdefgh", k=7)) for _ in range(n)]
+    passage, copied, short = words(30), words(50), words(60)
+    early, late, far, other = words(400), words(40), words(500), words(25)
+    rows = [
+        (1, passage + copied), (2, copied),
+        (None, copied), (None, early + passage), (None, late), (None, short), (None, short),  # a copy, a late passage, two that lose nothing
+        (7, far + passage), (7, other), (7, copied), (7, passage[:25] + late[:5]), (8, late + words(3)),
+    ]
+    want = [passage + copied, [], [], early, late[:0], short, short, far, other, [], late[:5], late + rows[-1][1][40:]]
+    for bucket_rows in (1, 400):
+        got = collect(substring.cut_repeats(frame(spark, [(i, " ".join(w), None, None, 0) for i, w in rows]), width=20, bucket_rows=bucket_rows))
+        assert sorted((r["doc_id"] or -1, r["n_words"], r["n_removed"], r["kept_text"]) for r in got) == sorted((i or -1, len(w), len(w) - len(k), " ".join(k)) for (i, w), k in zip(rows, want))
+    # equal starts in two texts of one id: the passage stays once
+    two = collect(substring.cut_repeats(frame(spark, [(i, " ".join(passage + rest), None, None, 0) for i in (3, None) for rest in (late, other)]), width=20))
+    assert sorted(r["kept_text"].startswith(passage[0]) for r in two) == [False] * 3 + [True] and sum(r["n_removed"] == 30 for r in two) == 1
+
+
 def test_mixing_and_sharding(spark, rows):
     docs = frame(spark, rows)
     got = collect(mixing.rates(docs.drop("size")))
