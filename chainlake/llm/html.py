@@ -1,8 +1,11 @@
 """Main text of web pages by composite text density (operator 6).
 
 The page becomes a tree; parts that are never main text go first: scripts, styles, forms,
-menus, asides, footers, site headers, and nodes whose class, id or role says advert, notice,
-comment, share and the like. Each remaining node has characters C, tags T, link characters
+menus, asides, footers, site headers, and nodes whose role, class or id says advert, comment,
+share and the like. A class or id is a guess: names of a state (has-sidebar, no-ads, with-toc)
+say nothing, nor does the name of a node that holds more than half of the page's text outside
+links (unless an article or main lies elsewhere; for comments: and a main or h1), and names that articles use too (notice, related,
+search) count only outside the main text that is found. If nothing is left, no name counts. Each remaining node has characters C, tags T, link characters
 LC and link tags LT of its subtree, and the composite density
 
     C / T * log(C / LC * T / LT) / log(ln(C / nLC * LC + LC_body / C_body * C + e))
@@ -11,7 +14,8 @@ with nLC = C - LC and zero denominators taken as one. The node whose block-level
 densities have the largest sum is the main subtree (inline tags count in T, but a phrase in
 bold is no main text of its own). The least density on the path from body to it is
 the threshold: other nodes of that density or more are searched in the same way. Link
-lists inside the result (four fifths of the characters in three links or more) go too.
+lists in them stay; only if body itself is the main subtree, its own children that are link
+lists (four fifths of the characters in three links or more) count as menus and go.
 
 Blocks are runs of text between block-level tags; character references are decoded, white
 space inside a block becomes one space, blocks are joined by one line feed. Nothing else is
@@ -47,39 +51,66 @@ _INLINE = frozenset("a abbr acronym b bdi bdo big br cite code data dfn em font
 _ENDS_P = frozenset("address article aside blockquote details div dl fieldset figcaption figure footer form h1 h2 h3 h4 h5 h6 header hr main menu nav ol p pre section table ul".split())
 #: A start tag that ends an open one of the same group, up to the nearest container of it.
 _SIBLING = {"li": (("li",), ("ul", "ol", "menu")), "dt": (("dt", "dd"), ("dl",)), "dd": (("dt", "dd"), ("dl",)), "tr": (("tr",), ("table", "thead", "tbody", "tfoot")), "td": (("td", "th"), ("tr", "table")), "th": (("td", "th"), ("tr", "table")), "option": (("option",), ("select",))}
-_SAYS = re.compile(
-    r"(?:^|[\s_-])(?:ad|ads|adv|advert|adverts|advertisement|advertising|sponsor|sponsored|promo|promotion|banner|cookie|cookies|consent|gdpr|notice|notices|alert|popup|modal|overlay|"
-    r"comment|comments|respond|replies|disqus|sidebar|side|widget|menu|nav|navbar|navigation|breadcrumb|breadcrumbs|toolbar|pagination|pager|share|sharing|social|related|recommended|"
-    r"newsletter|subscribe|subscription|signup|login|search|footer|masthead|skip|toc)(?:$|[\s_-]|\d)",
-    re.I,
+#: Words of classes and ids. Of a part that is no main text:
+_NAMES = frozenset(
+    "ad ads adv advert adverts advertisement advertising sponsor sponsored promo promotion cookie cookies gdpr popup modal comment comments respond replies disqus sidebar menu nav navbar "
+    "navigation breadcrumb breadcrumbs toolbar pagination pager share sharing social recommended newsletter subscribe subscription signup login footer masthead".split()
 )
+#: that articles have too,
+_WEAK_NAMES = frozenset("alert banner consent notice notices overlay related search side skip toc widget".split())
+#: of readers' texts, which may be longer than the main text,
+_READERS = frozenset("comment comments respond replies disqus".split())
+#: and of a state of what lies around or beside.
+_STATES = frozenset("has have no non not with without open closed enabled disabled".split())
+_WORD = re.compile(r"[^\W\d_]+")
 _LANDMARK = frozenset("navigation banner contentinfo complementary search form alert dialog menu menubar toolbar".split())
 
 
+#: Kinds of ``Node.drop``: a name that counts outside the main text, a name, a name of readers' texts, a part that always goes.
+_WEAK, _NAMED, _READ, _GONE = 1, 2, 3, 4
+
+
 class Node:
-    __slots__ = ("tag", "parent", "children", "drop", "chars", "tags", "link_chars", "link_tags", "density", "sum")
+    __slots__ = ("tag", "parent", "children", "drop", "plain", "heads", "articles", "chars", "tags", "link_chars", "link_tags", "density", "sum")
 
-    def __init__(self, tag: str, parent: Node | None, drop: bool):
+    def __init__(self, tag: str, parent: Node | None, drop: int):
         self.tag, self.parent, self.drop = tag, parent, drop
         self.children: list[Node | str] = []
 
 
-def _dropped(tag: str, attributes: str, inside: set[str]) -> bool:
+def _named(value: str) -> int:
+    """What a class or id says of its node."""
+    found = 0
+    for token in value.lower().split():
+        parts = {m[0] for m in map(_WORD.match, re.split("[-_]", token)) if m}
+        if parts & _STATES:
+            continue
+        if parts & _NAMES:
+            found = max(found, _READ if parts & _READERS else _NAMED)
+        elif parts & _WEAK_NAMES:
+            found = max(found, _WEAK)
+    return found
+
+
+def _dropped(tag: str, attributes: str, inside: set[str]) -> int:
     if tag in _DROP or (tag == "header" and not inside & {"article", "main"}):
-        return True
+        return _GONE
     if not attributes or tag in ("body", "html", "article", "main"):
-        return False
+        return 0
+    found = 0
     for m in _HINT.finditer(attributes):
         value = m[1] or m[2] or m[3] or ""
         name = m[0].split("=")[0].strip().lower()
-        if name == "hidden" or (name == "role" and value.lower() in _LANDMARK) or (name in ("class", "id") and _SAYS.search(value)):
-            return True
-    return False
+        if name == "hidden" or (name == "role" and value.lower() in _LANDMARK):
+            return _GONE
+        if name in ("class", "id"):
+            found = max(found, _named(value))
+    return found
 
 
 def parse(html: str) -> Node:
-    """The tree of a page; dropped subtrees are left out."""
-    root = Node("#root", None, False)
+    """The tree of a page, with what speaks for dropping a node."""
+    root = Node("#root", None, 0)
     here, at, end = root, 0, len(html)
 
     def close(names, until) -> None:
@@ -131,20 +162,55 @@ def parse(html: str) -> Node:
     return root
 
 
-def _measure(root: Node) -> list[Node]:
-    """Counts of each node that stays, children before parents; returns them parents first."""
+def _kept(node: Node) -> list[Node]:
+    return [c for c in node.children if not isinstance(c, str) and not c.drop]
+
+
+def _judge_names(root: Node, named: bool) -> None:
+    """Clears the names of nodes that hold most of the page's text outside links; all of them, if not ``named``."""
     order, stack = [], [root]
     while stack:
         node = stack.pop()
         order.append(node)
-        node.children = [c for c in node.children if isinstance(c, str) or not c.drop]
-        stack.extend(c for c in reversed(node.children) if not isinstance(c, str))
+        node.children = [c for c in node.children if isinstance(c, str) or c.drop != _GONE]
+        stack.extend(c for c in node.children if not isinstance(c, str))
+    if not any(node.drop for node in order):
+        return
+    for node in reversed(order):
+        node.plain, node.heads, node.articles = 0, node.tag in ("h1", "main"), 0
+        for c in node.children:
+            if isinstance(c, str):
+                node.plain += len(" ".join(c.split()))
+            else:
+                node.plain += c.plain
+                node.heads = node.heads or c.heads
+                node.articles += c.articles
+        if node.tag == "a":
+            node.plain = 0
+        if node.tag in ("article", "main") and node.plain:
+            node.articles += 1
+    for node in order:
+        if node.drop and (not named or (2 * node.plain > root.plain and (node.drop != _READ or node.heads) and (node.articles or not _article_elsewhere(node, root)))):
+            node.drop = 0
+
+
+def _article_elsewhere(node: Node, root: Node) -> bool:
+    outside = root.articles - node.articles
+    while node is not root:
+        node = node.parent
+        outside -= node.tag in ("article", "main") and node.plain > 0
+    return outside > 0
+
+
+def _measure(root: Node) -> list[Node]:
+    """Counts of each node that stays, children before parents; returns them parents first."""
+    order = _under(root)
     for node in reversed(order):
         chars = tags = link_chars = link_tags = 0
         for c in node.children:
             if isinstance(c, str):
                 chars += len(" ".join(c.split()))
-            else:
+            elif not c.drop:
                 chars += c.chars
                 tags += c.tags + 1
                 link_chars += c.link_chars
@@ -165,7 +231,7 @@ def _densities(order: list[Node], body: Node) -> None:
         base = math.log(c / (c - lc or 1) * lc + whole * c + math.e)
         node.density = c / t * math.log(max(c / (lc or 1) * t / lt, 1.0)) / math.log(base) if base > 1.0 + 1e-12 else c / t * math.log(max(c / (lc or 1) * t / lt, 1.0))
     for node in order:
-        node.sum = sum(c.density for c in node.children if not isinstance(c, str) and c.tag not in _INLINE)
+        node.sum = sum(c.density for c in _kept(node) if c.tag not in _INLINE)
 
 
 def _strongest(node: Node) -> Node:
@@ -174,7 +240,7 @@ def _strongest(node: Node) -> Node:
         x = stack.pop()
         if x.sum > best.sum:
             best = x
-        stack.extend(c for c in x.children if not isinstance(c, str))
+        stack.extend(_kept(x))
     return best
 
 
@@ -189,13 +255,13 @@ def main_nodes(root: Node) -> set[Node]:
     while node is not body:
         node = node.parent
         threshold = min(threshold, node.density)
-    chosen, stack = {best}, [c for c in body.children if not isinstance(c, str)]
+    chosen, stack = {best}, _kept(body)
     while stack:
         node = stack.pop()
         if node in chosen or node.density < threshold or not node.chars:
             continue
         chosen.add(_strongest(node))
-        stack.extend(c for c in node.children if not isinstance(c, str))
+        stack.extend(_kept(node))
     return chosen
 
 
@@ -204,16 +270,21 @@ def _under(node: Node) -> list[Node]:
     while stack:
         x = stack.pop()
         order.append(x)
-        stack.extend(c for c in reversed(x.children) if not isinstance(c, str))
+        stack.extend(reversed(_kept(x)))
     return order
 
 
 def main_text(html: str) -> str:
+    return _text(html, True) or _text(html, False)
+
+
+def _text(html: str, named: bool) -> str:
     root = parse(html)
+    _judge_names(root, named)
     chosen = main_nodes(root)
     blocks: list[list[str]] = [[]]
-    # (node, is it inside a chosen one); None ends a block
-    stack: list[tuple[Node | str | None, bool]] = [(root, False)]
+    # (node, is it inside a chosen one: 1 for body, 2 for another); None ends a block
+    stack: list[tuple[Node | str | None, int]] = [(root, 0)]
     while stack:
         node, inside = stack.pop()
         if node is None:
@@ -223,8 +294,11 @@ def main_text(html: str) -> str:
             if inside:
                 blocks[-1].append(node)
         else:
-            inside = inside or node in chosen
-            if inside and node not in chosen and node.tag in ("ul", "ol", "div", "table", "section", "dl") and node.link_tags >= 3 and 5 * node.link_chars >= 4 * node.chars:
+            if node in chosen:
+                inside = 1 if node.tag in ("body", "#root") else 2
+            elif node.drop > _WEAK or (node.drop and inside < 2):
+                continue
+            elif inside == 1 and node.parent.tag in ("body", "#root") and node.tag in ("ul", "ol", "div", "table", "section", "dl") and node.link_tags >= 3 and 5 * node.link_chars >= 4 * node.chars:
                 continue
             block = node.tag not in _INLINE
             if block:

@@ -180,6 +180,28 @@ def test_html():
     assert html.main_text("") == "" and html.main_text("just text") == "just text" and html.main_text("<p") is not None
 
 
+@pytest.mark.parametrize("name", ["container has-sidebar", "content no-sidebar", "page-with-toc", "related", "search", "side", "skip", "notice", "banner", "sidebar-layout", "menu open", "comments-open"])
+def test_html_name_of_the_wrapper(name):
+    paragraphs = [f"Paragraph {i} of the article says a good deal about its matter, and at length." for i in range(6)]
+    menu = "".join(f"<a href={i}>menu item {i}</a>" for i in range(5))
+    inner = "".join(f"<p>{p}</p>" for p in paragraphs)
+    for page in (f'<body><div class="{name}"><div>{inner}</div></div></body>', f'<body><div class="nav">{menu}</div><div class="{name}"><div id="sidebar">{menu} and more</div><div>{inner}</div><div class="ad">buy this now</div></div></body>'):
+        assert html.main_text(page) == "\n".join(paragraphs)
+
+
+def test_html_advert_longer_than_the_article():
+    assert html.main_text('<body><div class="ad">An advert that says more than the article below it.</div><article><h1>Title</h1><p>Short.</article></body>') == "Title\nShort."
+
+
+def test_html_keeps_what_lies_in_the_article():
+    inner = "".join(f"<p>Paragraph {i} of the article says a good deal about its matter.</p>" for i in range(4))
+    links = "<ul>" + "".join(f"<li><a href={i}>Source number {i}</a></li>" for i in range(4)) + "</ul>"
+    long = "".join(f"<li>Reader {i} writes a reply that is longer than anything in the article, over and over again.</li>" for i in range(9))
+    page = f'<body><ul><li><a>m1</a><li><a>m2</a><li><a>m3</a></ul><div class="banner">site banner text</div><article><h1>Title</h1>{inner}<div class="notice">Mind this.</div>{links}<div class="share">share it</div></article><div id="comments"><ol>{long}</ol></div></body>'
+    got = html.main_text(page)
+    assert got.split("\n")[0] == "Title" and got.split("\n")[5:] == ["Mind this.", *(f"Source number {i}" for i in range(4))] and len(got.split("\n")) == 10
+
+
 def test_licenses(spark):
     rng = random.Random(3)
     noise = lambda n: " ".join("".join(rng.choices("abcdefg", k=4)) for _ in range(n))
