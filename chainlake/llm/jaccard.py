@@ -137,7 +137,7 @@ def sketch_of(members: np.ndarray) -> np.ndarray:
 
 
 def _over_sets(docs: DataFrame, n: int, make, schema: str, once: bool = False) -> DataFrame:
-    """``make(ids, nodes, sets)`` -> columns, over docs (id, text). once: a node that this task had lately comes no more."""
+    """``make(ids, nodes, sets, *more)`` -> columns, over docs (id, text, more columns). once: a node that this task had lately comes no more."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         hashes, seen = WordHashes(), set()
@@ -150,8 +150,8 @@ def _over_sets(docs: DataFrame, n: int, make, schema: str, once: bool = False) -
                     keep = [i for i, x in enumerate(nodes) if x is not None and not (x in seen or seen.add(x))]
                     if len(seen) > 200_000:
                         seen.clear()
-                ids = batch.column(0).to_pylist()
-                yield from make([ids[i] for i in keep], [nodes[i] for i in keep], [sets[i] for i in keep])
+                ids, *more = [c.to_pylist() for i, c in enumerate(batch.columns) if i != 1]
+                yield from make([ids[i] for i in keep], [nodes[i] for i in keep], [sets[i] for i in keep], *[[x[i] for i in keep] for x in more])
 
     return docs.mapInArrow(run, schema)
 
@@ -160,15 +160,21 @@ def _batch(**columns) -> pa.RecordBatch:
     return pa.RecordBatch.from_pydict(columns)
 
 
-def links_and_groups(docs: DataFrame, id: str = "doc_id", text: str = "text", n: int = 5, percent: int = 80, small: int = 12, family_members: int = 2_000_000, sample_rows: int = 20_000) -> DataFrame:
+def links_and_groups(docs: DataFrame, id: str = "doc_id", text: str = "text", **how) -> DataFrame:
     """(id, n_shingles, component_id) of each row; component_id is the smallest id of its component."""
-    text_batches(docs.sparkSession)
-    docs = docs.select(F.col(id).cast("long").alias("id"), F.col(text).alias("text"))
+    given = docs.select(F.col(id).cast("long").alias("id"), F.col(text).alias("text"))
+    return _groups(given, **how).select(F.col("id").alias(id), "n_shingles", "component_id")
 
-    def base(ids, nodes, sets):
-        yield _batch(id=pa.array(ids, pa.int64()), n_shingles=pa.array(map(len, sets), pa.int64()), node=pa.array(nodes, pa.int64()))
 
-    rows = store(_over_sets(docs, n, base, "id long, n_shingles long, node long"), "sets-base")
+def _groups(given: DataFrame, n: int = 5, percent: int = 80, small: int = 12, family_members: int = 2_000_000, sample_rows: int = 20_000) -> DataFrame:
+    """(id, n_shingles, hash, component_id, component) of given (id, text, perhaps a hash of each row); component is a node, null for an empty set."""
+    text_batches(given.sparkSession)
+    docs, hashed = given.select("id", "text"), [c for c in given.columns if c == "hash"]
+
+    def base(ids, nodes, sets, *hashes):
+        yield _batch(id=pa.array(ids, pa.int64()), n_shingles=pa.array(map(len, sets), pa.int64()), node=pa.array(nodes, pa.int64()), **{c: pa.array(x, pa.int64()) for c, x in zip(hashed, hashes)})
+
+    rows = store(_over_sets(given, n, base, ", ".join(f"{c} long" for c in ("id", "n_shingles", "node", *hashed))), "sets-base")
     first = rows.filter("node is not null").groupBy("node").agg(F.min("id").alias("first_id"))
     members = store(_members(docs, rows.count(), n, percent, sample_rows), "bucket-members")
     release(docs.sparkSession)
@@ -201,20 +207,26 @@ def links_and_groups(docs: DataFrame, id: str = "doc_id", text: str = "text", n:
         comp = store(components(links.union(again)), "components")
 
     named = first.join(comp, "node").groupBy("component").agg(F.min("first_id").alias("component_id"))
-    named = comp.join(named, "component").select("node", F.col("component_id").alias("joined"))
-    known = first.join(named, "node", "left").select("node", F.coalesce("joined", "first_id").alias("component_id"))
-    done = rows.filter("node is not null").join(known, "node").select("id", "n_shingles", "component_id")
-    alone = rows.filter("node is null").select("id", "n_shingles", F.col("id").alias("component_id"))
-    return done.unionByName(alone).withColumnRenamed("id", id)
-
-
-def one_of_each(docs: DataFrame, id: str = "doc_id", **how) -> DataFrame:
-    """One row of each component: its smallest id. Rows with a null id go if a row with an id is in their component."""
-    groups = store(links_and_groups(docs, id, **how), "groups")
-    stay = groups.filter(F.col(id).eqNullSafe(F.col("component_id"))).select(F.col(id).alias("_stay")).distinct()
-    kept = docs.join(stay, docs[id].cast("long").eqNullSafe(F.col("_stay")), "left_semi")
-    repeated = groups.filter(F.col(id).isNotNull()).groupBy(id).count().filter("count > 1")
-    return kept if repeated.isEmpty() else kept.filter(F.col(id).isNotNull()).dropDuplicates([id]).unionByName(kept.filter(F.col(id).isNull()))
+    named = comp.join(named, "component").select("node", "component", F.col("component_id").alias("joined"))
+    known = first.join(named, "node", "left").select("node", F.coalesce("joined", "first_id").alias("component_id"), F.coalesce("component", "node").alias("component"))
+    done = rows.filter("node is not null").join(known, "node").select("id", "n_shingles", *hashed, "component_id", "component")
+    alone = rows.filter("node is null").select("id", "n_shingles", *hashed, F.col("id").alias("component_id"), F.lit(None).cast("long").alias("component"))
+    return done.unionByName(alone)
+
+
+def one_of_each(docs: DataFrame, id: str = "doc_id", text: str = "text", **how) -> DataFrame:
+    """One row of each component: the smallest id, a null id last, then the least hash of the text.
+
+    A text with an empty set is its own component; of rows with equal id and text one stays.
+    """
+    hashed = docs.withColumns({"_id": F.col(id).cast("long"), "_hash": F.xxhash64(text)})
+    groups = store(_groups(hashed.select(F.col("_id").alias("id"), F.col(text).alias("text"), F.col("_hash").alias("hash")), **how), "groups")
+    least = F.min(F.struct(F.col("id").isNull().alias("last"), "id", "hash")).alias("least")
+    stay = groups.filter("component is not null").groupBy("component").agg(least).select("least.id", "least.hash")
+    stay = store(stay.union(groups.filter("component is null").select("id", "hash")).distinct().toDF("id", "hash"), "stay")
+    kept = hashed.join(stay, hashed["_id"].eqNullSafe(stay["id"]) & (hashed["_hash"] == stay["hash"]), "left_semi")
+    repeated = groups.groupBy("id", "hash").count().filter("count > 1")
+    return (kept if repeated.isEmpty() else kept.dropDuplicates(["_id", "_hash"])).drop("_id", "_hash")
 
 
 def _semi(rows: DataFrame, ids: DataFrame, on: str, broadcast_rows: int = 1_000_000) -> DataFrame:

@@ -127,6 +127,16 @@ def test_jaccard(spark, rows, n, percent, small):
     assert sorted((r["doc_id"], r["n_shingles"], r["component_id"]) for r in got) == sorted((r[0], len(sets[r[0]]), find(r[0])) for r in rows)
 
 
+def test_one_of_each_row(spark):
+    rng = random.Random(8)
+    a, b, c, d, e, f = (" ".join("".join(rng.choices("abcdefgh", k=5)) for _ in range(40)) for _ in range(6))
+    near = c + " more"
+    rows = [(1, a), (1, b), (None, a), (None, c), (None, c), (None, near), (None, ""), (5, d), (5, d), (None, e), (7, f), (8, f), (8, a.upper())]
+    got = collect(jaccard.one_of_each(frame(spark, [(i, t, None, None, 0) for i, t in rows])))
+    found = sorted((r["doc_id"] or 0, "c" if r["text"] in (c, near) else r["text"]) for r in got)
+    assert found == sorted([(1, a), (1, b), (0, "c"), (0, ""), (5, d), (0, e), (7, f)])
+
+
 def test_substring(spark, rows):
     got = collect(substring.cut_repeats(frame(spark, rows), width=20, bucket_rows=7))
     first = {}
