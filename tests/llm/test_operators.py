@@ -6,6 +6,8 @@ import random
 import re
 import wave
 import zlib
+from collections import Counter
+from fractions import Fraction
 
 import corpus_pipeline
 import numpy as np
@@ -254,3 +256,70 @@ def test_pipeline_stages(spark, rows):
     mix = corpus_pipeline.mixing_sources(spark, cut, "")
     packed = corpus_pipeline.best_fit_packing(spark, mix, "")
     assert packed.filter("start = 0").count() == mix.count()
+
+
+def test_pipeline_run_equals_plain_python(spark, rows, tmp_path):
+    frame(spark, rows).select(*corpus_pipeline.COLUMNS).write.parquet(str(tmp_path / "documents.parquet"))
+    got = collect(corpus_pipeline.run(spark, str(tmp_path)))
+
+    def passes(text):
+        words, lines = WORD.findall(text), [x for x in text.split("\n") if WORD.search(x)]
+        windows = [tuple(words[i : i + 8]) for i in range(len(words) - 7)]
+        often = {w for w, k in Counter(windows).items() if k > 1}
+        inside = {j for i, w in enumerate(windows) if w in often for j in range(i, i + 8)}
+        letters = [c for c in text if c.isalpha()]
+        base = len(words) >= 20 and 100 * len(inside) <= 30 * len(words)
+        return base and 10 * sum(c in "#*$%&|<>" for c in text) <= len(words) and 2 * len(words) <= sum(map(len, words)) <= 14 * len(words) and 2 * (len(lines) - len(set(lines))) <= len(lines) and 2 * sum(c.isupper() for c in letters) <= len(letters) and 4 * sum(any(c.isalpha() for c in w) for w in words) >= 3 * len(words)
+
+    docs = [(i, text, source) for i, text, _, source, _ in rows if passes(text or "")]
+    sets = {i: {tuple(w[j : j + 5]) for j in range(len(w) - 4)} for i, text, _ in docs for w in [text.lower().split()]}
+    root = {i: i for i in sets}
+
+    def find(x):
+        return x if root[x] == x else find(root[x])
+
+    for a in sets:
+        for b in sets:
+            if a < b and 100 * len(sets[a] & sets[b]) >= 80 * len(sets[a] | sets[b]):
+                x, y = sorted((find(a), find(b)))
+                root[y] = x
+    docs = [d for d in docs if find(d[0]) == d[0]]
+    assert len(docs) < len(sets)
+
+    first, cut = {}, []
+    for i, text, source in sorted(docs):
+        w = WORD.findall(text)
+        gone = set()
+        for s in range(len(w) - 19):
+            if first.setdefault(tuple(w[s : s + 20]), (i, s)) != (i, s):
+                gone |= set(range(s, s + 20))
+        cut.append((i, " ".join(x for j, x in enumerate(w) if j not in gone) if gone else text, source))
+    assert any(a[1] != b[1] for a, b in zip(sorted(docs), cut))
+
+    size = Counter()
+    for _, text, source in cut:
+        size[source] += len(WORD.findall(text))
+    weight = {s: (5, 2, 1)[k % 3] for k, s in enumerate(sorted(size))}
+    target, left = {}, Fraction(3, 2) * sum(size.values())
+    while True:
+        share = {s: left * weight[s] / sum(weight[x] for x in size if x not in target) for s in size if s not in target}
+        full = [s for s in share if share[s] >= 2 * size[s]]
+        if not full:
+            target |= share
+            break
+        target |= {s: 2 * size[s] for s in full}
+        left -= sum(2 * size[s] for s in full)
+    want = Counter()
+    tok = Tokenizer.from_file(public_tokenizers.path("word_bpe_49k.json"))
+    for i, text, source in cut:
+        rate = Fraction(target[source]) / size[source]
+        coin = int(hashlib.md5(f"{i}:mix".encode()).hexdigest()[:8], 16) / 2**32
+        ids = np.array(tok.encode(text, add_special_tokens=False).ids + [1], "<u4")
+        for n, p in enumerate(np.split(ids, range(4096, len(ids), 4096))):
+            want[i, n, 4096 * n, len(p), zlib.crc32(p.tobytes())] += int(rate) + (coin < rate - int(rate))
+    assert Counter((r["doc_id"], r["piece"], r["start"], r["length"], r["ids_crc32"]) for r in got) == +want
+    bins = {}
+    for r in got:
+        bins.setdefault(r["sequence_id"], []).append((r["offset"], r["length"]))
+    for b in bins.values():
+        assert sum(n for _, n in b) <= 4096 and [o for o, _ in sorted(b)] == list(np.cumsum([0, *[n for _, n in sorted(b)]])[:-1])
