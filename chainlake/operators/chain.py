@@ -12,12 +12,14 @@ def first_seen(records: DataFrame, key: str, *order: str) -> DataFrame:
     return records.groupBy(key).agg(F.min(F.struct(*order, *rest)).alias("r")).select(key, "r.*")
 
 
-def rooted(headers: DataFrame, rounds: int = 24) -> DataFrame:
+def rooted(headers: DataFrame) -> DataFrame:
     """(hash, height, cum_work) of the nodes that reach a root (prev null), by pointer doubling.
 
     headers(hash, prev, work). Each round doubles how far back a node knows its sums, so a
     chain of n headers takes log2(n) joins; checkpoint() cuts the lineage between rounds.
+    Rounds go on until no row moves; rows that still move after log2(n) + 1 are on or behind a cycle.
     """
+    rounds = max(1, headers.count()).bit_length() + 1
     state = headers.select("hash", F.col("prev").alias("far"), F.lit(0).cast("long").alias("height"), F.col("work").alias("cum_work"))
     for _ in range(rounds):
         back = state.select(F.col("hash").alias("far"), F.col("far").alias("farther"), F.col("height").alias("h"), F.col("cum_work").alias("w"))
@@ -32,6 +34,8 @@ def rooted(headers: DataFrame, rounds: int = 24) -> DataFrame:
         if state.filter("moved").isEmpty():
             break
         state = state.drop("moved")
+    else:
+        raise ValueError("the headers' prev pointers have a cycle")
     return state.filter("far is null").select("hash", "height", "cum_work")
 
 

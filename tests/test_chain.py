@@ -141,3 +141,13 @@ def test_growth_edges(spark):
     two = line([(100000, 1000), (200000, 2000)])
     assert abs(two.intercept) < 1e-6 and abs(two.slope - 0.01) < 1e-12
     assert (line([(100, 50)]).slope, line([]).slope, line([(1, 9), (2, 1)]).slope) == (0.5, 0.0, 0.0)
+
+
+def test_rooted_goes_on_until_no_row_moves(spark, tmp_path):
+    spark.sparkContext.setCheckpointDir(str(tmp_path))
+    schema = "hash long, prev long, work long"
+    for n in (1, 2, 3, 64, 65):
+        got = chain.rooted(spark.createDataFrame([(i, i - 1 if i else None, 2) for i in range(n)], schema)).collect()
+        assert sorted(map(tuple, got)) == [(i, i, 2 * i + 2) for i in range(n)]
+    with pytest.raises(ValueError):
+        chain.rooted(spark.createDataFrame([(0, None, 1), (1, 3, 1), (2, 1, 1), (3, 2, 1)], schema))
