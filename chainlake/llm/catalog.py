@@ -7,6 +7,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from . import html, jaccard, licenses, media, mixing, packing, quality, sharding, substring, toxicity
+from .license_texts import ALL
 from .text import WORD
 
 TOKENIZER = public_tokenizers.path("word_bpe_49k.json")
@@ -47,7 +48,7 @@ def op7_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op8_license_scans(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return licenses.scan(table(spark, sf_dir, "documents"))
+    return licenses.scan(table(spark, sf_dir, "documents"), templates=ALL)
 
 
 def op9_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:

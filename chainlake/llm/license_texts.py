@@ -36,3 +36,64 @@ TEMPLATES = {
         "file, You can obtain one at http://mozilla.org/MPL/2.0/."
     ),
 }
+
+#: What op8_license_scans looks for besides.
+MORE = {
+    # further one-line notices; at 0.8 of the shingles a short line allows no other wording, so each wording is a template
+    "mit-licensed-line": "Licensed under the MIT License.",
+    "mit-distributed-line": "Distributed under the MIT License.",
+    "mit-project-line": "This project is licensed under the MIT License.",
+    "apache-2.0-short-line": "Licensed under the Apache License 2.0.",
+    "gpl-3.0-short-line": "Licensed under the GPL v3.",
+    "gpl-2.0-short-line": "Licensed under the GPL v2.",
+    "lgpl-line": "Licensed under the GNU Lesser General Public License.",
+    "agpl-line": "Licensed under the GNU Affero General Public License.",
+    "bsd-line": "Licensed under the BSD License.",
+    "bsd-3-clause-line": "Licensed under the BSD 3-Clause License.",
+    "bsd-2-clause-line": "Licensed under the BSD 2-Clause License.",
+    "bsd-style-line": "This source code is governed by a BSD-style license that can be found",
+    # the number is one shingle in four, so another version is another notice
+    "gpl-2.0-line": "GNU General Public License, version 2",
+    "gpl-3.0-short-phrase": "GNU General Public License, version 3",
+    "gpl-2.0-v2-line": "GNU General Public License v2",
+    "gpl-3.0-v3-line": "GNU General Public License v3",
+    "isc-line": "Licensed under the ISC License.",
+    "cc0-line": "Released under CC0 1.0 Universal.",
+    "cc-by-4.0-line": "Licensed under CC BY 4.0.",
+    "cc-by-sa-4.0-line": "Licensed under CC BY-SA 4.0.",
+    "cc-by-nd-4.0-line": "Licensed under CC BY-ND 4.0.",
+    "cc-by-nc-sa-4.0-line": "Licensed under CC BY-NC-SA 4.0.",
+    "cc-by-nc-nd-4.0-line": "Licensed under CC BY-NC-ND 4.0.",
+    "cc-by-sa-4.0": "Attribution-ShareAlike 4.0 International License",
+    "cc-by-nc-4.0": "Attribution-NonCommercial 4.0 International License",
+    "cc-by-nc-sa-4.0": "Creative Commons Attribution-NonCommercial-ShareAlike 4.0 International License",
+    "cc-by-nd-4.0": "Attribution-NoDerivatives 4.0 International License",
+    # longer notices and disclaimers
+    "mit-disclaimer": (
+        'THE SOFTWARE IS PROVIDED "AS IS", WITHOUT WARRANTY OF ANY KIND, EXPRESS OR IMPLIED, INCLUDING BUT NOT LIMITED TO THE WARRANTIES OF '
+        "MERCHANTABILITY, FITNESS FOR A PARTICULAR PURPOSE AND NONINFRINGEMENT. IN NO EVENT SHALL THE AUTHORS OR COPYRIGHT HOLDERS BE LIABLE FOR ANY "
+        "CLAIM, DAMAGES OR OTHER LIABILITY, WHETHER IN AN ACTION OF CONTRACT, TORT OR OTHERWISE, ARISING FROM, OUT OF OR IN CONNECTION WITH THE "
+        "SOFTWARE OR THE USE OR OTHER DEALINGS IN THE SOFTWARE."
+    ),
+    "bsd-disclaimer": (
+        'THIS SOFTWARE IS PROVIDED BY THE COPYRIGHT HOLDERS AND CONTRIBUTORS "AS IS" AND ANY EXPRESS OR IMPLIED WARRANTIES, INCLUDING, BUT NOT LIMITED '
+        "TO, THE IMPLIED WARRANTIES OF MERCHANTABILITY AND FITNESS FOR A PARTICULAR PURPOSE ARE DISCLAIMED. IN NO EVENT SHALL THE COPYRIGHT HOLDER OR "
+        "CONTRIBUTORS BE LIABLE FOR ANY DIRECT, INDIRECT, INCIDENTAL, SPECIAL, EXEMPLARY, OR CONSEQUENTIAL DAMAGES"
+    ),
+    "isc-grant": (
+        "Permission to use, copy, modify, and/or distribute this software for any purpose with or without fee is hereby granted, provided that the "
+        "above copyright notice and this permission notice appear in all copies."
+    ),
+    "unlicense": (
+        "This is free and unencumbered software released into the public domain. Anyone is free to copy, modify, publish, use, compile, sell, or "
+        "distribute this software, either in source code form or as a compiled binary, for any purpose, commercial or non-commercial, and by any means."
+    ),
+}
+#: SPDX ids as source files name them; "-only" and "-or-later" are found by the id without them.
+MORE |= {
+    f"spdx-{x.lower()}": f"SPDX-License-Identifier: {x}"
+    for x in (
+        "MIT Apache-2.0 GPL-2.0 GPL-3.0 LGPL-2.1 LGPL-3.0 AGPL-3.0 BSD-2-Clause BSD-3-Clause ISC MPL-2.0 EPL-2.0 CC0-1.0 CC-BY-4.0 CC-BY-SA-4.0 CC-BY-NC-4.0 Unlicense"
+    ).split()
+}
+ALL = TEMPLATES | MORE

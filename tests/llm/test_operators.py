@@ -14,7 +14,7 @@ import numpy as np
 import public_tokenizers
 import pytest
 from chainlake.llm import catalog, html, jaccard, licenses, media, mixing, packing, quality, sharding, substring, toxicity
-from chainlake.llm.license_texts import TEMPLATES
+from chainlake.llm.license_texts import ALL, TEMPLATES
 from tokenizers import Tokenizer
 
 WORD = re.compile(catalog.WORD)
@@ -226,6 +226,17 @@ def test_licenses(spark):
     assert got == want
 
 
+def test_licenses_of_other_wordings(spark):
+    texts = {
+        "mit-licensed-line": "Licensed under the MIT License", "spdx-mit": "// SPDX-License-Identifier: MIT", "spdx-gpl-3.0": "SPDX-License-Identifier: GPL-3.0-or-later",
+        "cc-by-sa-4.0-line": "Licensed under CC BY-SA 4.0", "gpl-2.0-line": "under the GNU General Public License, version 2", "lgpl-line": "Licensed under the GNU Lesser General Public License",
+        "agpl-line": "Licensed under the GNU Affero General Public License", "isc-line": "Licensed under the ISC License", "mit-disclaimer": ALL["mit-disclaimer"],
+        "bsd-disclaimer": ALL["bsd-disclaimer"], "unlicense": ALL["unlicense"],
+    }
+    got = collect(licenses.scan(frame(spark, [(i, f"some words {t} and others", None, None, 0) for i, t in enumerate(texts.values())]), templates=ALL))
+    assert {(r["doc_id"], r["template"]) for r in got} == set(enumerate(texts))
+
+
 def test_toxicity(spark):
     rng = random.Random(4)
     rows, labels = [], []
