@@ -10,7 +10,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .scratch import store
+from .scratch import delete, store
 
 
 def components(links: DataFrame) -> DataFrame:
@@ -30,7 +30,8 @@ def components(links: DataFrame) -> DataFrame:
         # small star: the smaller neighbours of a node, and the node, move to the smallest of them
         low = large.groupBy("u").agg(F.min("v").alias("m"))
         small = large.join(low, "u").select(F.col("v").alias("u"), F.col("m").alias("v")).union(low.select("u", F.col("m").alias("v")))
-        edges = store(small.filter("u != v").distinct(), "links")
+        before, edges = edges, store(small.filter("u != v").distinct(), "links")
+        delete(before)
         after = _state(edges)
         if after == state:
             break

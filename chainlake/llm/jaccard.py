@@ -6,26 +6,26 @@ the set flips one bit, so the Hamming distance of two sketches is at most the sy
 difference of the sets, and two sets that reach the similarity differ in at most
 ``D = (100 - p) / (100 + p) * (sum of sizes)`` bits.
 
-Pigeonhole: within a band of set sizes the sketch has K > D blocks, of which K - D at least
+Pigeonhole: within a band of set sizes the sketch has K = 2 D + 3 blocks, of which K - D at least
 agree. Nodes are joined on (band, block, content of the block); a node also enters the next
 band if a partner there can reach the similarity. Blocks without a set bit would join
 everything: they are left out unless a node has K - D or more of them, so that each pair
 keeps a common block with a set bit, or meets in an empty block with its like.
 
-A node with e empty blocks shares K - D - e filled ones with every partner. It leaves out its
-K - D - e - 1 most frequent keys: passages that many texts share then hold no buckets together.
+A node with e empty blocks shares K - D - e filled ones with every partner, so in any fixed order of
+all keys it can do without its K - D - e - 1 last ones. The order is by frequency: on a sample of
+``sample_rows`` rows at once, which leaves D + 1 keys and a reserve, and by the exact counts
+for the reserve. Passages that many texts share then hold few buckets together, unless they
+make up most of a text. The sample decides the order and the salting only, not the result.
 
 Buckets are resolved without writing out all their pairs: each member is compared with the
 strongest lead of its buckets, the node that shares the most blocks; components are formed; only buckets
 that still span several components are looked at again, between their components. Small
 ones give their pairs directly. The nodes of larger ones form families, which are compared
 in chunks of bounded size by bit sketches, without a row per pair; their work is quadratic
-in the nodes of a family that do not link with its leads, the rest is not. A pair is tested
-by the Hamming bound first and by its exact intersection then. No cap, no sampling: every
-pair that links is found, or lies in one component already.
-
-Keys that many nodes share are found on a sample of ``sample_rows`` rows and salted; this
-decides the routing only, not the result.
+in the nodes of a family that do not link with its leads, the rest is not. Sketches are
+compared first, and sets are made and sent only for nodes of pairs that pass the Hamming bound, and
+of families. No cap, no sampling: every pair that links is found, or lies in one component already.
 
 Edge cases: a null or empty text has an empty set, links with nothing, and is its own
 component; a text shorter than n words is one n-gram; copies and repeated rows share a
@@ -52,6 +52,7 @@ from .text import WordHashes, hashed_words, mix, ngrams, slices, utf8
 
 _SKETCH_WORDS = 64  # of 64 bits, for the Hamming test of a pair
 _SALTS = 16
+_RESERVE = 16
 
 
 def sets_of(texts: list[bytes], n: int, hashes: WordHashes) -> list[np.ndarray]:
@@ -85,7 +86,7 @@ def _bands(percent: int) -> tuple[list[int], list[int], list[int]]:
         d = 2 * top * (100 - percent) // (100 + percent)
         tops.append(top)
         most.append(d)
-        blocks.append(d + 3 + -(-6 * d // 100))
+        blocks.append(2 * d + 3)
         top = max(top + 1, int(top * 1.4))
     return tops, most, blocks
 
@@ -94,24 +95,45 @@ def _spread(x: np.ndarray) -> np.ndarray:
     return mix(x, np.full(len(x), 0x5851F42D4C957F2D, np.uint64))
 
 
-def keys_of(members: np.ndarray, percent: int) -> tuple[np.ndarray, np.ndarray]:
-    """The join keys of a set: one for each block with a set bit, in its band and perhaps the next.
+def _later(keys: np.ndarray, often: tuple[np.ndarray, np.ndarray]) -> np.ndarray:
+    """The keys in the order of their frequency in the sample, then by themselves."""
+    known, times = often
+    if not len(known):
+        return np.sort(keys)
+    at = np.minimum(np.searchsorted(known, keys), len(known) - 1)
+    return keys[np.lexsort((keys, np.where(known[at] == keys, times[at], 0)))]
+
+
+_UNKNOWN = np.empty(0, np.uint64), np.empty(0, np.int64)
+
 
-    Also each key's ``place``: 0 or 1 for the band, plus twice the number of its most frequent
-    keys that the node can do without there.
+def keys_of(members: np.ndarray, percent: int, often: tuple[np.ndarray, np.ndarray] = _UNKNOWN) -> tuple[np.ndarray, np.ndarray]:
+    """The join keys of a set: of its blocks with a set bit, in its band and perhaps the next.
+
+    ``often`` has sorted keys and how often a sample holds them. Also each key's ``place``: 0 or
+    1 for the band, plus twice the number of its most frequent keys that the node can still do without there.
     """
+    most = _bands(percent)[1]
+    found, places = [], []
+    for place, (band, keys, empty) in enumerate(_blocks(members, percent)):
+        spare = max(0, len(keys) - most[band] - 1)  # a partner shares spare + 1 of these keys at least
+        reserve = min(spare, 2 + most[band] // _RESERVE)  # left for the exact counts to choose from
+        keys = np.concatenate([_later(keys, often)[: len(keys) - spare + reserve], empty])
+        found.append(keys)
+        places.append(np.full(len(keys), 2 * reserve + place, np.int32))
+    return (np.concatenate(found), np.concatenate(places)) if found else (np.empty(0, np.uint64), np.empty(0, np.int32))
+
+
+def _blocks(members: np.ndarray, percent: int) -> Iterator[tuple[int, np.ndarray, np.ndarray]]:
+    """(band, keys of the blocks with a set bit, keys of the empty blocks where these are needed) of a set."""
     tops, most, blocks = _bands(percent)
     n = len(members)
-    none = np.empty(0, np.uint64), np.empty(0, np.int32)
     if not n:
-        return none
+        return
     high, bits = members >> np.uint64(32), _spread(members & np.uint64(0xFFFFFFFF))
     own = int(np.searchsorted(tops, n))
-    found, places = [], []
     for band in (own, own + 1):
-        if band > own and 100 * n // percent <= tops[own]:
-            continue
-        if not most[band]:
+        if not most[band] or (band > own and 100 * n // percent <= tops[own]):
             continue
         k = blocks[band]
         block = (high * np.uint64(k)) >> np.uint64(32)
@@ -119,14 +141,11 @@ def keys_of(members: np.ndarray, percent: int) -> tuple[np.ndarray, np.ndarray]:
         content, block = np.bitwise_xor.reduceat(bits, first), block[first]
         tag = np.uint64(band << 32)
         filled = content != 0
-        keys = mix(content[filled], block[filled] + tag)
-        spare = max(0, len(keys) - most[band] - 1)  # a partner shares spare + 1 of these keys at least
+        keys, empty = mix(content[filled], block[filled] + tag), np.empty(0, np.uint64)
         if k - len(keys) >= k - most[band]:
             empty = np.setdiff1d(np.arange(k, dtype=np.uint64), block[filled])
-            keys = np.concatenate([keys, mix(np.full(len(empty), 0xE, np.uint64), empty + tag)])
-        found.append(keys)
-        places.append(np.full(len(keys), 2 * spare + band - own, np.int32))
-    return (np.concatenate(found), np.concatenate(places)) if found else none
+            empty = mix(np.full(len(empty), 0xE, np.uint64), empty + tag)
+        yield band, keys, empty
 
 
 def sketch_of(members: np.ndarray) -> np.ndarray:
@@ -172,39 +191,54 @@ def _groups(given: DataFrame, n: int = 5, percent: int = 80, small: int = 12, fa
     docs, hashed = given.select("id", "text"), [c for c in given.columns if c == "hash"]
 
     def base(ids, nodes, sets, *hashes):
-        yield _batch(id=pa.array(ids, pa.int64()), n_shingles=pa.array(map(len, sets), pa.int64()), node=pa.array(nodes, pa.int64()), **{c: pa.array(x, pa.int64()) for c, x in zip(hashed, hashes)})
+        last: set[int] = set()  # a node that this batch has twice needs one sketch
+        sketches = [sketch_of(s) if x is not None and not (x in last or last.add(x)) else None for x, s in zip(nodes, sets)]
+        yield _batch(id=pa.array(ids, pa.int64()), n_shingles=pa.array(map(len, sets), pa.int64()), node=pa.array(nodes, pa.int64()), **{c: pa.array(x, pa.int64()) for c, x in zip(hashed, hashes)}, sketch=pa.array(sketches, pa.list_(pa.int64())))
 
-    rows = store(_over_sets(given, n, base, ", ".join(f"{c} long" for c in ("id", "n_shingles", "node", *hashed))), "sets-base")
+    whole = store(_over_sets(given, n, base, ", ".join(f"{c} long" for c in ("id", "n_shingles", "node", *hashed)) + ", sketch array<long>"), "sets-base")
+    rows = whole.drop("sketch")
     first = rows.filter("node is not null").groupBy("node").agg(F.min("id").alias("first_id"))
     members = store(_members(docs, rows.count(), n, percent, sample_rows), "bucket-members")
     release(docs.sparkSession)
     plain, members = members, store(_needed(members), "needed-members")
     drop(plain)
+    plain, members = members, store(_led(members), "led-members")
+    drop(plain)
 
-    nodes = members.select("node").distinct()
-    texts = rows.filter("id is not null").join(nodes, "node").groupBy("node").agg(F.min("id").alias("id")).select("id")
-    null_ids = docs.filter("id is null")
+    nodes = store(members.select("node").distinct(), "nodes")
+    known = _semi(whole.filter("sketch is not null"), nodes, "node").select("node", F.col("n_shingles").alias("n"), "sketch")
+    sketches = store(known.dropDuplicates(["node"]), "sketches")
 
     def full(ids, nodes, sets):
         for i in range(0, len(sets), 200):
             part = sets[i : i + 200]
-            yield _batch(node=pa.array(nodes[i : i + 200], pa.int64()), n=pa.array(map(len, part), pa.int64()), members=pa.array([s.view(np.int64) for s in part], pa.list_(pa.int64())), sketch=pa.array([sketch_of(s) for s in part], pa.list_(pa.int64())))
+            yield _batch(node=pa.array(nodes[i : i + 200], pa.int64()), members=pa.array([s.view(np.int64) for s in part], pa.list_(pa.int64())))
 
-    wanted = _semi(docs, store(texts, "wanted"), "id").unionByName(null_ids)
-    sets = store(_over_sets(wanted, n, full, "node long, n long, members array<long>, sketch array<long>", once=True), "sets")
+    def sets_for(wanted: DataFrame) -> DataFrame:
+        wanted = store(wanted.distinct(), "wanted-nodes")
+        ids = store(rows.join(wanted, "node").groupBy("node").agg(F.min("id").alias("id")), "wanted-ids")
+        texts = _semi(docs, ids.filter("id is not null").select("id").distinct(), "id").unionByName(docs.filter("id is null"))
+        return store(_semi(_over_sets(texts, n, full, "node long, members array<long>", once=True), wanted, "node").dropDuplicates(["node"]), "sets")
 
-    plain, members = members, store(_led(members), "led-members")
-    drop(plain)
     # most links show against the strongest lead; what these join needs no further test
     tested = store(_first(members), "star")
-    links = store(_linked(tested, sets, percent), "links-star")
+    near = store(_near(tested, sketches, percent), "near-star")
+    sets = sets_for(_ends(near))
+    links = store(_linked(near, sets, percent), "links-star")
+    drop(near, sets)
     comp = store(components(links), "components")
     open_ = store(_open(members, comp), "open")
     drop(members)
-    again = _linked(_between(open_.filter(F.col("size") <= small), tested, percent), sets, percent)
-    again = store(again.union(_families(open_.filter(F.col("size") > small), sets, percent, family_members)), "links-between")
-    if not again.isEmpty():
-        comp = store(components(links.union(again)), "components")
+    near = store(_near(_between(open_.filter(F.col("size") <= small), tested, percent), sketches, percent), "near-between")
+    drop(sketches)
+    families = store(_families(open_.filter(F.col("size") > small)), "families")
+    drop(open_)
+    if not (near.isEmpty() and families.isEmpty()):
+        sets = sets_for(_ends(near).union(families.select("node")))
+        again = store(_linked(near, sets, percent).union(_within(families, sets, percent, family_members)), "links-between")
+        drop(near, families, sets)
+        if not again.isEmpty():
+            comp = store(components(links.union(again)), "components")
 
     named = first.join(comp, "node").groupBy("component").agg(F.min("first_id").alias("component_id"))
     named = comp.join(named, "component").select("node", "component", F.col("component_id").alias("joined"))
@@ -219,14 +253,15 @@ def one_of_each(docs: DataFrame, id: str = "doc_id", text: str = "text", **how)
 
     A text with an empty set is its own component; of rows with equal id and text one stays.
     """
-    hashed = docs.withColumns({"_id": F.col(id).cast("long"), "_hash": F.xxhash64(text)})
-    groups = store(_groups(hashed.select(F.col("_id").alias("id"), F.col(text).alias("text"), F.col("_hash").alias("hash")), **how), "groups")
+    # the row travels as one column, so no name of its own can clash
+    hashed = docs.select(F.struct(*docs.columns).alias("row"), F.col(id).cast("long").alias("id"), F.xxhash64(text).alias("hash"), F.col(text).alias("text"))
+    groups = store(_groups(hashed.select("id", "text", "hash"), **how), "groups")
     least = F.min(F.struct(F.col("id").isNull().alias("last"), "id", "hash")).alias("least")
     stay = groups.filter("component is not null").groupBy("component").agg(least).select("least.id", "least.hash")
-    stay = store(stay.union(groups.filter("component is null").select("id", "hash")).distinct().toDF("id", "hash"), "stay")
-    kept = hashed.join(stay, hashed["_id"].eqNullSafe(stay["id"]) & (hashed["_hash"] == stay["hash"]), "left_semi")
+    stay = store(stay.union(groups.filter("component is null").select("id", "hash")).distinct().toDF("stay_id", "stay_hash"), "stay")
+    kept = hashed.drop("text").join(stay, F.col("id").eqNullSafe(F.col("stay_id")) & (F.col("hash") == F.col("stay_hash")), "left_semi")
     repeated = groups.groupBy("id", "hash").count().filter("count > 1")
-    return (kept if repeated.isEmpty() else kept.dropDuplicates(["_id", "_hash"])).drop("_id", "_hash")
+    return (kept if repeated.isEmpty() else kept.dropDuplicates(["id", "hash"])).select("row.*")
 
 
 def _semi(rows: DataFrame, ids: DataFrame, on: str, broadcast_rows: int = 1_000_000) -> DataFrame:
@@ -238,12 +273,13 @@ def _semi(rows: DataFrame, ids: DataFrame, on: str, broadcast_rows: int = 1_000_
 _KEYS = "key long, node long, n int, salt int, place int"
 
 
-def _members(docs: DataFrame, total: int, n: int, percent: int, sample_rows: int) -> DataFrame:
+def _members(docs: DataFrame, total: int, n: int, percent: int, sample_rows: int, ordered_keys: int = 500_000) -> DataFrame:
     """(key, salt, node, n): the nodes of each bucket with two nodes or more."""
 
-    def keyed(heavy):
+    def keyed(often, heavy):
         def make(ids, nodes, sets):
-            keys, places = zip(*[keys_of(s, percent) for s in sets]) if sets else ((), ())
+            known = (often.value if often is not None else _UNKNOWN,)
+            keys, places = zip(*[keys_of(s, percent, *known) for s in sets]) if sets else ((), ())
             lens = list(map(len, keys))
             if not sum(lens):
                 return
@@ -259,14 +295,24 @@ def _members(docs: DataFrame, total: int, n: int, percent: int, sample_rows: int
 
         return make
 
+    def every_key(ids, nodes, sets):
+        keys = [keys for s in sets for _, keys, _ in _blocks(s, percent)]
+        key = np.concatenate(keys).view(np.int64) if keys else np.empty(0, np.int64)
+        for i in range(0, len(key), 100_000):
+            yield _batch(key=key[i : i + 100_000])
+
     every = max(1, -(-total // sample_rows))
-    sample = docs.filter(F.pmod(F.xxhash64("id", F.lit("heavy")), F.lit(every)) == 0)
+    sample = docs.filter(F.pmod(F.xxhash64("id", "text", F.lit("heavy")), F.lit(every)) == 0)
     least = max(50, sample_rows // 200)
-    heavy = _over_sets(sample, n, keyed(None), _KEYS, once=True).groupBy("key").count().filter(F.col("count") >= least)
-    # at most (keys of the sample) / least of them: bounded by sample_rows
-    found = np.sort(np.array([r[0] for r in heavy.select("key").collect()], np.int64))
-    sent = docs.sparkSession.sparkContext.broadcast(found)
-    keys = _over_sets(docs, n, keyed(sent), _KEYS, once=True)
+    counted = _over_sets(sample, n, every_key, "key long", once=True).groupBy("key").count().filter(F.col("count") > 1)
+    # only the order of keys hangs on these, so the most frequent ones will do
+    found = counted.orderBy(F.desc("count"), "key").limit(ordered_keys).toArrow()
+    key, times = found.column("key").to_numpy().view(np.uint64), found.column("count").to_numpy()
+    rank = np.argsort(key)
+    context = docs.sparkSession.sparkContext
+    often = context.broadcast((key[rank], times[rank].astype(np.int32)))
+    heavy = context.broadcast(np.sort(key[times >= least].view(np.int64)))
+    keys = _over_sets(docs, n, keyed(often, heavy), _KEYS, once=True)
     bucket = Window.partitionBy("key", "salt")
     spans = keys.withColumns({"low": F.min("node").over(bucket), "high": F.max("node").over(bucket)})
     return spans.filter("salt > 0 or low < high").select("key", "salt", "node", "n", "place").distinct()
@@ -298,21 +344,27 @@ def _first(members: DataFrame) -> DataFrame:
     return best.select(F.least("lead", "node").alias("a"), F.greatest("lead", "node").alias("b")).distinct()
 
 
-def _linked(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
-    """The pairs that reach the similarity: by the Hamming bound first, then exactly."""
+def _ends(pairs: DataFrame) -> DataFrame:
+    return pairs.select(F.col("a").alias("node")).union(pairs.select("b"))
 
-    def end(x: str, *columns: str) -> DataFrame:
-        return sets.select(F.col("node").alias(x), *[F.col(c).alias(f"{c}_{x}") for c in columns])
 
-    light = pairs.join(end("a", "n", "sketch"), "a").join(end("b", "n", "sketch"), "b")
+def _near(pairs: DataFrame, sketches: DataFrame, percent: int) -> DataFrame:
+    """The pairs whose sizes and sketches allow the similarity."""
+
+    def end(x: str) -> DataFrame:
+        return sketches.select(F.col("node").alias(x), F.col("n").alias(f"n_{x}"), F.col("sketch").alias(f"sketch_{x}"))
+
     total = F.col("n_a") + F.col("n_b")
     apart = F.aggregate(F.zip_with("sketch_a", "sketch_b", lambda x, y: F.bit_count(x.bitwiseXOR(y))), F.lit(0), lambda s, x: s + x)
-    near = light.filter(100 * F.least("n_a", "n_b") >= percent * F.greatest("n_a", "n_b")).filter((100 - percent) * total >= (100 + percent) * apart)
-    near = store(near.select("a", "b"), "near")
-    nodes = store(near.select(F.col("a").alias("node")).union(near.select("b")).distinct(), "near-nodes")
-    sets = _semi(sets, nodes, "node")
-    both = near.join(end("a", "n", "members"), "a").join(end("b", "n", "members"), "b")
-    common = F.size(F.array_intersect("members_a", "members_b"))
+    light = pairs.join(end("a"), "a").join(end("b"), "b").filter(100 * F.least("n_a", "n_b") >= percent * F.greatest("n_a", "n_b"))
+    return light.filter((100 - percent) * total >= (100 + percent) * apart).select("a", "b")
+
+
+def _linked(near: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
+    """The pairs that reach the similarity, by their exact intersections."""
+    both = near.join(sets.select(F.col("node").alias("a"), F.col("members").alias("members_a")), "a")
+    both = both.join(sets.select(F.col("node").alias("b"), F.col("members").alias("members_b")), "b")
+    common, total = F.size(F.array_intersect("members_a", "members_b")), F.size("members_a") + F.size("members_b")
     return both.filter((100 + percent) * common >= percent * total).select("a", "b")
 
 
@@ -331,17 +383,19 @@ def _between(small: DataFrame, tested: DataFrame, percent: int) -> DataFrame:
     return pairs.join(tested, ["a", "b"], "left_anti")
 
 
-def _families(large: DataFrame, sets: DataFrame, percent: int, most: int) -> DataFrame:
-    """Links between components among the nodes of large buckets.
-
-    Components that large buckets hold together are a family. A family is cut into chunks of
-    about ``most`` set members, and each pair of chunks is one task, which compares bit
-    sketches and intersects what these leave; pairs in one component are passed over.
-    """
+def _families(large: DataFrame) -> DataFrame:
+    """(node, n, component, family) of the nodes of large buckets; components that large buckets hold together are a family."""
     edges = large.filter("component != centre").select(F.col("component").alias("a"), F.col("centre").alias("b"))
     family = components(edges).toDF("component", "family")
-    nodes = store(family.join(large.select("node", "n", "component").distinct(), "component"), "family-nodes")
-    sets = _semi(sets, nodes.select("node"), "node")
+    return family.join(large.select("node", "n", "component").distinct(), "component")
+
+
+def _within(nodes: DataFrame, sets: DataFrame, percent: int, most: int) -> DataFrame:
+    """Links between components within the families.
+
+    A family is cut into chunks of about ``most`` set members, and each pair of chunks is one
+    task, which compares bit sketches and intersects what these leave; pairs in one component are passed over.
+    """
     chunks = nodes.groupBy("family").agg(F.ceil(F.sum("n") / most).cast("int").alias("chunks"))
     placed = nodes.join(chunks, "family").withColumn("own", F.pmod(F.xxhash64("node"), F.col("chunks")).cast("int"))
     placed = placed.join(sets.select("node", "members"), "node")

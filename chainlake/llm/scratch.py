@@ -44,13 +44,18 @@ def store(df: DataFrame, name: str) -> DataFrame:
     return spark.read.schema(df.schema).parquet(path)
 
 
-def drop(*tables: DataFrame) -> None:
-    """Delete tables that :func:`store` wrote, once nothing reads them any more, and shuffles that nothing refers to."""
+def delete(*tables: DataFrame) -> None:
+    """Delete tables that :func:`store` wrote, once nothing reads them any more."""
     for df in tables:
         files = df.inputFiles()
         for item in [x for x in _made if any(x[1].split("/")[-1] in f for f in files)]:
             _delete(*item)
             _made.remove(item)
+
+
+def drop(*tables: DataFrame) -> None:
+    """:func:`delete`, and shuffles that nothing refers to."""
+    delete(*tables)
     release(tables[0].sparkSession)
 
 
