@@ -1,8 +1,8 @@
 """Main text of web pages by composite text density (operator 6).
 
-The page becomes a tree; parts that are never main text go first: scripts, styles, forms,
+The page becomes a tree; parts that are never main text go first: scripts, styles,
 menus, asides, footers, site headers, and nodes whose role, class or id says advert, comment,
-share and the like. A class or id is a guess: names of a state (has-sidebar, no-ads, with-toc)
+share and the like, and forms. A class, id or form is a guess: names of a state (has-sidebar, no-ads, with-toc)
 say nothing, nor does the name of a node that holds more than half of the page's text outside
 links (unless an article or main lies elsewhere; for comments: and a main or h1), and names that articles use too (notice, related,
 search) count only outside the main text that is found. If nothing is left, no name counts. Each remaining node has characters C, tags T, link characters
@@ -22,7 +22,8 @@ space inside a block becomes one space, blocks are joined by one line feed. Noth
 dropped or capped.
 
 Edge cases: a null or empty page, or one without text, gives an empty text; unclosed and
-stray tags are handled as browsers do in the common cases; repeated rows get equal answers;
+stray tags are handled as browsers do in the common cases, in linear time however broken or
+deep the page is (the rest after a "<" without any ">" is text); repeated rows get equal answers;
 an empty table gives an empty table; further columns are ignored.
 """
 
@@ -40,12 +41,16 @@ from pyspark.sql.types import StructType
 from .scratch import text_batches
 from .text import slices
 
-_TOKEN = re.compile(r"""<!--.*?(?:-->|\Z)|<(/?)([a-zA-Z][^\s/>]*)((?:[^>"']|"[^"]*"|'[^']*')*)>|<[!?][^>]*>""", re.S)
-_HINT = re.compile(r"""(?:^|\s)(?:class|id|role|aria-label|hidden)\b(?:\s*=\s*(?:"([^"]*)"|'([^']*)'|([^\s"'>]+)))?""", re.I)
+#: A tag with its name and attributes; a quote counts after an equals sign only, and if it is closed.
+_TAG = re.compile(r"""<(/?)([a-zA-Z][^\s/>]*+)((?:[^>"'=]++|=\s*+"[^"]*+"|=\s*+'[^']*+'|["'=])*+)>""")
+#: The same where no tag ends outside quotes any more.
+_SHORT_TAG = re.compile(r"<(/?)([a-zA-Z][^\s/>]*+)([^>]*+)>")
+_ATTRIBUTE = re.compile(r"""([^\s"'>/=]++)(?:\s*+=\s*+(?:"([^"]*+)"|'([^']*+)'|([^\s"'>]++)))?""")
+_HINTS = frozenset("class id role hidden".split())
 #: Tag names of HTML.
 _VOID = frozenset("area base br col embed hr img input link meta param source track wbr".split())
 _RAW = frozenset("script style textarea title noscript template iframe noembed noframes xmp".split())
-_DROP = frozenset("script style textarea title noscript template iframe noembed noframes xmp head nav aside footer form button select option svg canvas object map dialog menu".split())
+_DROP = frozenset("script style textarea title noscript template iframe noembed noframes xmp head nav aside footer button select option svg canvas object map dialog menu".split())
 _INLINE = frozenset("a abbr acronym b bdi bdo big br cite code data dfn em font i img ins kbd label mark q rp rt ruby s samp small span strike strong sub sup time tt u var wbr del".split())
 #: A start tag here ends an open paragraph.
 _ENDS_P = frozenset("address article aside blockquote details div dl fieldset figcaption figure footer form h1 h2 h3 h4 h5 h6 header hr main menu nav ol p pre section table ul".split())
@@ -71,7 +76,7 @@ _WEAK, _NAMED, _READ, _GONE = 1, 2, 3, 4
 
 
 class Node:
-    __slots__ = ("tag", "parent", "children", "drop", "plain", "heads", "articles", "chars", "tags", "link_chars", "link_tags", "density", "sum")
+    __slots__ = ("tag", "parent", "children", "drop", "plain", "heads", "articles", "chars", "tags", "link_chars", "link_tags", "density", "sum", "best", "above")
 
     def __init__(self, tag: str, parent: Node | None, drop: int):
         self.tag, self.parent, self.drop = tag, parent, drop
@@ -92,15 +97,16 @@ def _named(value: str) -> int:
     return found
 
 
-def _dropped(tag: str, attributes: str, inside: set[str]) -> int:
-    if tag in _DROP or (tag == "header" and not inside & {"article", "main"}):
+def _dropped(tag: str, attributes: str, in_article: bool) -> int:
+    if tag in _DROP or (tag == "header" and not in_article):
         return _GONE
+    found = _NAMED if tag == "form" else 0
     if not attributes or tag in ("body", "html", "article", "main"):
-        return 0
-    found = 0
-    for m in _HINT.finditer(attributes):
-        value = m[1] or m[2] or m[3] or ""
-        name = m[0].split("=")[0].strip().lower()
+        return found
+    for m in _ATTRIBUTE.finditer(attributes):
+        name, value = m[1].lower(), m[2] or m[3] or m[4] or ""
+        if name not in _HINTS:
+            continue
         if name == "hidden" or (name == "role" and value.lower() in _LANDMARK):
             return _GONE
         if name in ("class", "id"):
@@ -108,57 +114,88 @@ def _dropped(tag: str, attributes: str, inside: set[str]) -> int:
     return found
 
 
+#: What an end tag of an inline element does not reach beyond.
+_INLINE_ENDS = ("p", "td", "th", "li", "div", "article", "section", "body")
+_P_ENDS = ("div", "td", "th", "li", "article", "section", "body", "blockquote")
+
+
+class _Path:
+    """The open nodes. Whether a name is open below some others is known without a walk, so parsing takes linear time."""
+
+    def __init__(self, root: Node):
+        self.nodes, self.depths = [root], {}
+
+    def open(self, node: Node) -> None:
+        self.depths.setdefault(node.tag, []).append(len(self.nodes))
+        self.nodes.append(node)
+
+    def is_open(self, tag: str) -> bool:
+        return bool(self.depths.get(tag))
+
+    def depth(self, tags: tuple[str, ...]) -> int:
+        return max((self.depths[t][-1] for t in tags if self.depths.get(t)), default=0)
+
+    def close(self, names: tuple[str, ...], until: tuple[str, ...] = ()) -> None:
+        """Close the innermost node of these names, unless one of ``until`` was opened in it."""
+        at = self.depth(names)
+        if at > self.depth(until):
+            for node in self.nodes[at:]:
+                self.depths[node.tag].pop()
+            del self.nodes[at:]
+
+
 def parse(html: str) -> Node:
     """The tree of a page, with what speaks for dropping a node."""
     root = Node("#root", None, 0)
-    here, at, end = root, 0, len(html)
-
-    def close(names, until) -> None:
-        nonlocal here
-        node = here
-        while node is not root and node.tag not in until:
-            if node.tag in names:
-                here = node.parent
-                return
-            node = node.parent
-
-    find = _TOKEN.search
-    while at < end:
-        m = find(html, at)
+    path, tags = _Path(root), _TAG
+    at, look, end = 0, 0, len(html)  # text from at on is not in the tree yet, look is where the next tag is looked for
+    while (lt := html.find("<", look)) >= 0:
+        after = html[lt + 1 : lt + 2]
+        m = None
+        if html.startswith("<!--", lt):
+            stop = html.find("-->", lt + 4)
+            look = stop + 3 if stop >= 0 else end
+        elif after in ("!", "?"):
+            stop = html.find(">", lt)
+            if stop < 0:
+                break
+            look = stop + 1
+        else:
+            if after == "/" or after.isalpha():
+                m = tags.match(html, lt)
+                if m is None and tags is _TAG:
+                    tags = _SHORT_TAG
+                    m = tags.match(html, lt)
+                if m is None and html.find(">", lt) < 0:
+                    break
+            if m is None:
+                look = lt + 1
+                continue
+            look = m.end()
+        if lt > at:
+            path.nodes[-1].children.append(html[at:lt])
+        at = look
         if m is None:
-            here.children.append(html[at:])
-            break
-        if m.start() > at:
-            here.children.append(html[at : m.start()])
-        at = m.end()
-        if m[2] is None:
             continue
         tag = m[2].lower()
         if m[1]:
-            if tag == "p" or tag not in _INLINE:
-                close((tag,), ("#root",))
-            else:
-                close((tag,), ("p", "td", "th", "li", "div", "article", "section", "body", "#root") if tag != "a" else ("td", "body", "#root"))
+            path.close((tag,), () if tag == "p" or tag not in _INLINE else ("td", "body") if tag == "a" else _INLINE_ENDS)
             continue
         if tag in _RAW and not m[3].endswith("/"):
             stop = re.compile(rf"</{re.escape(tag)}[\s/>]", re.I).search(html, at)
-            after = html.find(">", stop.start()) if stop else -1
-            at = after + 1 if after >= 0 else end
+            close = html.find(">", stop.start()) if stop else -1
+            at = look = close + 1 if close >= 0 else end
             continue
         if tag in _ENDS_P:
-            close(("p",), ("div", "td", "th", "li", "article", "section", "body", "blockquote", "#root"))
+            path.close(("p",), _P_ENDS)
         if tag in _SIBLING:
-            close(*_SIBLING[tag])
-        inside = set()
-        if tag == "header":
-            node = here
-            while node is not None:
-                inside.add(node.tag)
-                node = node.parent
-        node = Node(tag, here, _dropped(tag, m[3], inside))
-        here.children.append(node)
+            path.close(*_SIBLING[tag])
+        node = Node(tag, path.nodes[-1], _dropped(tag, m[3], path.is_open("article") or path.is_open("main")))
+        path.nodes[-1].children.append(node)
         if tag not in _VOID and not m[3].endswith("/"):
-            here = node
+            path.open(node)
+    if at < end:
+        path.nodes[-1].children.append(html[at:])
     return root
 
 
@@ -190,18 +227,11 @@ def _judge_names(root: Node, named: bool) -> None:
         if node.tag in ("article", "main") and node.plain:
             node.articles += 1
     for node in order:
-        if node.drop and (not named or (2 * node.plain > root.plain and (node.drop != _READ or node.heads) and (node.articles or not _article_elsewhere(node, root)))):
+        node.above = node.parent.above + (node.parent.tag in ("article", "main") and node.parent.plain > 0) if node.parent else 0
+        if node.drop and (not named or (2 * node.plain > root.plain and (node.drop != _READ or node.heads) and (node.articles or root.articles <= node.above))):
             node.drop = 0
 
 
-def _article_elsewhere(node: Node, root: Node) -> bool:
-    outside = root.articles - node.articles
-    while node is not root:
-        node = node.parent
-        outside -= node.tag in ("article", "main") and node.plain > 0
-    return outside > 0
-
-
 def _measure(root: Node) -> list[Node]:
     """Counts of each node that stays, children before parents; returns them parents first."""
     order = _under(root)
@@ -230,18 +260,12 @@ def _densities(order: list[Node], body: Node) -> None:
             continue
         base = math.log(c / (c - lc or 1) * lc + whole * c + math.e)
         node.density = c / t * math.log(max(c / (lc or 1) * t / lt, 1.0)) / math.log(base) if base > 1.0 + 1e-12 else c / t * math.log(max(c / (lc or 1) * t / lt, 1.0))
-    for node in order:
-        node.sum = sum(c.density for c in _kept(node) if c.tag not in _INLINE)
-
-
-def _strongest(node: Node) -> Node:
-    best, stack = node, [node]
-    while stack:
-        x = stack.pop()
-        if x.sum > best.sum:
-            best = x
-        stack.extend(_kept(x))
-    return best
+    for node in reversed(order):
+        kept = _kept(node)
+        node.sum, node.best = sum(c.density for c in kept if c.tag not in _INLINE), node
+        for c in reversed(kept):
+            if c.best.sum > node.best.sum:
+                node.best = c.best
 
 
 def main_nodes(root: Node) -> set[Node]:
@@ -250,7 +274,7 @@ def main_nodes(root: Node) -> set[Node]:
     body = next((n for n in order if n.tag == "body"), root)
     order = _under(body)
     _densities(order, body)
-    best = _strongest(body)
+    best = body.best
     threshold, node = best.density, best
     while node is not body:
         node = node.parent
@@ -260,7 +284,7 @@ def main_nodes(root: Node) -> set[Node]:
         node = stack.pop()
         if node in chosen or node.density < threshold or not node.chars:
             continue
-        chosen.add(_strongest(node))
+        chosen.add(node.best)
         stack.extend(_kept(node))
     return chosen
 
