@@ -12,7 +12,8 @@ shingles in the window then decides (``containment`` or more).
 Two steps keep the work small without losing a match. A template's marker words are chosen
 so that a text without any of them lacks too many of its shingles; texts that have no
 marker of any template are passed over after a substring test. Long texts are cut into
-segments that overlap by the longest window, so memory is bounded for any length.
+segments of at least twice the longest window that overlap by it, so memory is bounded for
+any length of a text, and a template may have any length.
 
 Nothing is gathered by license or by band value: minima are grouped by window, after a
 combine in each task, and templates join by broadcast, so a notice that a third of all
@@ -26,6 +27,7 @@ is kept; an empty table gives an empty table; further columns are ignored.
 from __future__ import annotations
 
 import re
+from collections import Counter
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -33,7 +35,8 @@ from pyspark.sql import functions as F
 from .license_texts import TEMPLATES
 from .scratch import store
 
-SHINGLE, BANDS, SEGMENT = 3, 24, 512
+SHINGLE, BANDS = 3, 24
+_SENT_SHINGLES = 1_000_000  # of all templates together, up to which they go by broadcast (8 MB)
 WORDS = r"[\p{L}\p{N}]+"
 
 
@@ -52,8 +55,8 @@ def markers(text: str, containment: float) -> list[str]:
     least = containment * len(left)
     chosen: list[str] = []
     while len(left) >= least:
-        held = {w: sum(w in s for s in left) for w in words}
-        able = {w for w, n in held.items() if n}
+        held = Counter(w for s in left for w in set(s))
+        able = set(held)
         able = able - _COMMON or able
         enough = [w for w in able if len(left) - held[w] < least]
         chosen.append(min(enough, key=lambda w: (-len(w), w)) if enough else min(able, key=lambda w: (-held[w], -len(w), w)))
@@ -77,21 +80,24 @@ def _band_hashes(shingles: Column) -> list[Column]:
     return [seeded(b) for b in range(BANDS)]
 
 
-def _templates(spark, templates: dict[str, str]) -> DataFrame:
-    """One row per template and band: name, class, words, shingles, band, value."""
+def _templates(spark, templates: dict[str, str]) -> tuple[DataFrame, DataFrame]:
+    """(template, class, band, value) with a row per template and band, and (template, template_words, wanted) with its shingles."""
     rows = [(name, length_class(len(_words(text))), _words(text)) for name, text in sorted(templates.items())]
     table = spark.createDataFrame(rows, "template string, class int, words array<string>")
-    table = table.withColumn("shingles", F.array_distinct(_shingles(F.col("words")))).withColumn("template_words", F.size("words"))
-    mins = F.array(*[F.array_min(x) for x in _band_hashes(F.col("shingles"))])
-    return table.select("template", "class", "template_words", "shingles", F.posexplode(mins).alias("band", "value"))
+    table = table.select("template", "class", F.size("words").alias("template_words"), F.array_distinct(_shingles(F.col("words"))).alias("wanted"))
+    mins = F.array(*[F.array_min(x) for x in _band_hashes(F.col("wanted"))])
+    bands, whole = table.select("template", "class", F.posexplode(mins).alias("band", "value")), table.select("template", "template_words", "wanted")
+    small = sum(len(words) for *_, words in rows) <= _SENT_SHINGLES and BANDS * len(rows) <= _SENT_SHINGLES
+    return (F.broadcast(bands), F.broadcast(whole)) if small else (bands, whole)
 
 
 def scan(docs: DataFrame, id: str = "doc_id", text: str = "text", templates: dict[str, str] | None = None, containment: float = 0.8) -> DataFrame:
     """(id, template, containment, start_word, template_words): the templates that each text holds, with the best window."""
     templates = TEMPLATES if templates is None else templates
-    known = _templates(docs.sparkSession, templates)
+    known, whole = _templates(docs.sparkSession, templates)
     classes = sorted({length_class(len(_words(t))) for t in templates.values()})
     longest = classes[-1] * 3 // 2
+    segment = max(512, 2 * longest)  # words of a text in one row
 
     lower = F.lower(F.col(text))
     found = sorted({m for t in templates.values() for m in markers(t, containment)})
@@ -100,11 +106,11 @@ def scan(docs: DataFrame, id: str = "doc_id", text: str = "text", templates: dic
         marked = marked | (lower.contains(word) if len(word) > 4 else lower.rlike(rf"\b{word}\b"))
     rows = docs.filter(marked).select(F.col(id).alias("id"), F.xxhash64(id, text).alias("key"), F.regexp_extract_all(lower, F.lit(f"({WORDS})"), F.lit(1)).alias("words"))
 
-    step = SEGMENT - longest
+    step = segment - longest
     starts = F.sequence(F.lit(0), F.greatest(F.size("words") - longest - 1, F.lit(0)), F.lit(step))
     parts = rows.select("id", "key", "words", F.explode(starts).alias("at")).filter(F.size("words") >= SHINGLE)
     # each array is a column of its own before a lambda reads it: an expression would be computed once an element
-    parts = parts.select("id", "key", "at", F.slice("words", F.col("at") + 1, F.lit(SEGMENT)).alias("words"))
+    parts = parts.select("id", "key", "at", F.slice("words", F.col("at") + 1, F.lit(segment)).alias("words"))
     parts = store(parts.select("id", "key", "at", _shingles(F.col("words")).alias("shingles")), "marked-parts")
 
     # each shingle with the (up to three) windows of each class that hold it, then each window's least hashes
@@ -116,9 +122,8 @@ def scan(docs: DataFrame, id: str = "doc_id", text: str = "text", templates: dic
     spread = spread.filter((F.col("begin") >= 0) & (F.col("pos") < F.col("begin") + F.col("width")))
     windows = spread.groupBy("key", "at", "class", "width", "begin").agg(*[F.min(F.xxhash64("shingle", F.lit(b))).alias(f"b{b}") for b in range(BANDS)])
     banded = windows.select("key", "at", "class", "width", "begin", F.posexplode(F.array(*[f"b{b}" for b in range(BANDS)])).alias("band", "value"))
-    # the templates' table has BANDS rows a template and is given by the caller
-    joined = banded.join(F.broadcast(known), ["class", "band", "value"]).groupBy("key", "at", "width", "begin", "template").agg(F.first("shingles").alias("wanted"), F.first("template_words").alias("template_words"))
-    joined = joined.join(parts, ["key", "at"]).withColumn("own", F.slice("shingles", F.col("begin") + 1, F.col("width"))).withColumn("start_word", F.col("at") + F.col("begin"))
+    joined = banded.join(known, ["class", "band", "value"]).select("key", "at", "width", "begin", "template").distinct()
+    joined = joined.join(whole, "template").join(parts, ["key", "at"]).withColumn("own", F.slice("shingles", F.col("begin") + 1, F.col("width"))).withColumn("start_word", F.col("at") + F.col("begin"))
     share = F.size(F.array_intersect("wanted", "own")) / F.size("wanted")
     good = joined.select("id", "key", "template", "template_words", "start_word", share.alias("containment")).filter(F.col("containment") >= containment)
     best = F.min(F.struct((-F.col("containment")).alias("less"), "start_word")).alias("best")

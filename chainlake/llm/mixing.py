@@ -10,7 +10,8 @@ a third of all rows costs nothing extra. The table of sources joins by broadcast
 
 Edge cases: a null text has size 0; null is a source of its own, last in order; a source
 without words has target 0 and contributes no words; repeated rows share a coin and are
-counted each; an empty table gives an empty table; a null id is hashed as an empty text.
+counted each; an empty table gives an empty table; a null id is hashed as an empty text;
+further columns may have any names: the row travels as one column.
 """
 
 from __future__ import annotations
@@ -68,24 +69,33 @@ def targets(sizes: DataFrame, weights: tuple[int, ...] = (5, 2, 1), share: tuple
     return ranked.select("source", "source_size", F.when(F.col("full"), F.col("cap").cast("double")).otherwise(shared).alias("target"))
 
 
-def rates(docs: DataFrame, id: str = "doc_id", text: str = "text", source: str = "source", seed: str = "mix", broadcast_sources: int = 100_000, **how) -> DataFrame:
-    """``docs`` with size, source_size, target and ``copies``, the number of times the mix takes the row."""
-    sized = docs.withColumn("size", n_words(text))
-    sizes = sized.groupBy(F.col(source).alias("source")).agg(F.sum("size").alias("source_size"))
-    goal = targets(sizes, **how).select(F.col("source").alias("_source"), "source_size", "target")
+MADE = ("size", "source_size", "target", "copies")
+
+
+def _rated(docs: DataFrame, id: str = "doc_id", text: str = "text", source: str = "source", seed: str = "mix", broadcast_sources: int = 100_000, **how) -> DataFrame:
+    """(row, size, source_size, target, copies): the given row is one column, so no name of its own can clash."""
+    sized = docs.select(F.struct(*docs.columns).alias("row"), F.col(source).alias("source"), n_words(text).alias("size"), coin(id, seed).alias("coin"))
+    goal = targets(sized.groupBy("source").agg(F.sum("size").alias("source_size")), **how).withColumnRenamed("source", "of")
     if docs.select(source).distinct().limit(broadcast_sources + 1).count() <= broadcast_sources:
-        joined = sized.join(F.broadcast(goal), sized[source].eqNullSafe(F.col("_source")))
+        joined = sized.join(F.broadcast(goal), F.col("source").eqNullSafe(F.col("of")))
     else:
-        goal = goal.withColumn("_salt", F.explode(F.sequence(F.lit(0), F.lit(_SALTS - 1))))
-        sized = sized.withColumn("_own_salt", F.pmod(F.xxhash64(id), F.lit(_SALTS)).cast("int"))
-        joined = sized.join(goal, sized[source].eqNullSafe(F.col("_source")) & (F.col("_salt") == F.col("_own_salt"))).drop("_salt", "_own_salt")
+        goal = goal.withColumn("salt", F.explode(F.sequence(F.lit(0), F.lit(_SALTS - 1))))
+        sized = sized.withColumn("own_salt", F.floor(F.col("coin") * 4294967296).bitwiseAND(_SALTS - 1).cast("int"))
+        joined = sized.join(goal, F.col("source").eqNullSafe(F.col("of")) & (F.col("salt") == F.col("own_salt")))
     rate = F.when(F.col("source_size") > 0, F.col("target") / F.col("source_size")).otherwise(F.lit(0.0))
-    copies = F.floor(rate) + (coin(id, seed) < rate - F.floor(rate)).cast("long")
-    return joined.withColumn("copies", copies.cast("long")).drop("_source")
+    copies = F.floor(rate) + (F.col("coin") < rate - F.floor(rate)).cast("long")
+    return joined.select("row", "size", "source_size", "target", copies.cast("long").alias("copies"))
+
+
+def rates(docs: DataFrame, **how) -> DataFrame:
+    """``docs`` with ``MADE``: size, source_size, target and copies, the number of times the mix takes the row.
+
+    Columns of ``docs`` that have these names give way here; :func:`mixed` keeps them as they are.
+    """
+    return _rated(docs, **how).select(*[F.col("row")[c].alias(c) for c in docs.columns if c not in MADE], *MADE)
 
 
 def mixed(docs: DataFrame, **how) -> DataFrame:
     """The mix itself: each row of ``docs`` as often as its rate says, with the same columns."""
-    columns = docs.columns
-    taken = rates(docs, **how).filter("copies > 0")
-    return taken.withColumn("_copy", F.explode(F.sequence(F.lit(1), F.col("copies")))).select(*columns)
+    taken = _rated(docs, **how).filter("copies > 0").select("row", "copies")
+    return taken.select("row", F.explode(F.sequence(F.lit(1), F.col("copies"))).alias("copy")).select("row.*")

@@ -1,7 +1,8 @@
 """Sharding by proportional stratified interleaving (operator 10), with DataFrame functions only.
 
 Rows are shuffled within each source by a seeded hash; a row's fractional rank is
-(rank + 1/2) / (rows of its source). Sorting all rows by it interleaves the sources in
+(rank + u) / (rows of its source), with an offset u in [0, 1) that the seed and the source
+give, so that many small sources do not all fall into the same shards. Sorting all rows by it interleaves the sources in
 proportion, and cutting the order into equal runs gives shards that all match the mixture
 and differ by at most one row.
 
@@ -23,7 +24,7 @@ from pyspark.sql import functions as F
 from .scratch import store
 
 
-def _rank(df: DataFrame, within: list[str], bucket: str, order: list[Column], name: str, broadcast_buckets: int = 200_000) -> DataFrame:
+def _rank(df: DataFrame, within: list[str], bucket: str, order: list[Column], name: str) -> DataFrame:
     """``name``: each row's rank from 0 within the group ``within``, ordered by bucket, then ``order``."""
     keys = [*within, bucket]
     counts = df.groupBy(*keys).agg(F.count(F.lit(1)).alias("_n"))
@@ -33,7 +34,7 @@ def _rank(df: DataFrame, within: list[str], bucket: str, order: list[Column], na
     return local.join(counts, keys).withColumn(name, F.col("_before") + F.col("_local")).drop("_before", "_local")
 
 
-def interleave(docs: DataFrame, id: str = "doc_id", text: str = "text", source: str = "source", shards: int = 8, seed: str = "shard", bucket_rows: int = 20_000) -> DataFrame:
+def interleave(docs: DataFrame, id: str = "doc_id", text: str = "text", source: str = "source", shards: int = 8, seed: str = "shard", bucket_rows: int = 5_000) -> DataFrame:
     """id, size, text_crc32, shard and slot of each row."""
     rows = docs.select(
         F.col(id).alias("id"),
@@ -51,7 +52,8 @@ def interleave(docs: DataFrame, id: str = "doc_id", text: str = "text", source:
     ranked = _rank(rows, ["stratum"], "bucket", tie, "rank")
     sizes = rows.groupBy("stratum").agg(F.count(F.lit(1)).alias("in_stratum"))
     ranked = _with_sizes(ranked, sizes)
-    ranked = ranked.withColumn("part", (F.col("rank") + 0.5) / F.col("in_stratum"))
+    offset = F.xxhash64(F.lit(seed), "stratum", F.lit("offset")).bitwiseAND((1 << 30) - 1) / F.lit(float(1 << 30))
+    ranked = ranked.withColumn("part", (F.col("rank") + offset) / F.col("in_stratum"))
     ranked = ranked.withColumn("slice", F.least(F.floor(F.col("part") * parts), F.lit(parts - 1))).withColumn("_all", F.lit(0))
     placed = _rank(ranked, ["_all"], "slice", [F.col("part"), F.col("stratum"), F.col("rank")], "place")
     # shard s holds the places from ceil(s * total / shards) on
