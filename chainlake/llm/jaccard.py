@@ -30,7 +30,7 @@ of families. No cap, no sampling: every pair that links is found, or lies in one
 Edge cases: a null or empty text has an empty set, links with nothing, and is its own
 component; a text shorter than n words is one n-gram; copies and repeated rows share a
 component; a null id takes part and gets the smallest id of its component (null if there is
-none); an empty table gives an empty table; further columns are ignored. Fingerprints of
+none); ids are whole numbers; an empty table gives an empty table; further columns are ignored. Fingerprints of
 n-grams and of sets have 64 bits, so two of N different sets coincide with a probability
 below N * N / 2**65.
 """
@@ -48,7 +48,7 @@ from pyspark.sql import functions as F
 
 from .components import components
 from .scratch import drop, release, store, text_batches
-from .text import WordHashes, hashed_words, mix, ngrams, slices, utf8
+from .text import WordHashes, hashed_words, keep, mix, ngrams, slices, utf8
 
 _SKETCH_WORDS = 64  # of 64 bits, for the Hamming test of a pair
 _SALTS = 16
@@ -159,18 +159,18 @@ def _over_sets(docs: DataFrame, n: int, make, schema: str, once: bool = False) -
     """``make(ids, nodes, sets, *more)`` -> columns, over docs (id, text, more columns). once: a node that this task had lately comes no more."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        hashes, seen = WordHashes(), set()
+        hashes, seen = keep("words", WordHashes), set()
         for whole in batches:
             for batch in slices(whole, "text", 1_000_000):
                 sets = sets_of([x or b"" for x in utf8(batch.column(1))], n, hashes)
                 nodes = [node_of(s) if len(s) else None for s in sets]
-                keep = range(len(sets))
+                fresh = range(len(sets))
                 if once:
-                    keep = [i for i, x in enumerate(nodes) if x is not None and not (x in seen or seen.add(x))]
+                    fresh = [i for i, x in enumerate(nodes) if x is not None and not (x in seen or seen.add(x))]
                     if len(seen) > 200_000:
                         seen.clear()
                 ids, *more = [c.to_pylist() for i, c in enumerate(batch.columns) if i != 1]
-                yield from make([ids[i] for i in keep], [nodes[i] for i in keep], [sets[i] for i in keep], *[[x[i] for i in keep] for x in more])
+                yield from make([ids[i] for i in fresh], [nodes[i] for i in fresh], [sets[i] for i in fresh], *[[x[i] for i in fresh] for x in more])
 
     return docs.mapInArrow(run, schema)
 

@@ -24,7 +24,6 @@ import zlib
 from bisect import bisect_left, insort
 from collections.abc import Iterator
 from dataclasses import dataclass, field
-from functools import lru_cache
 
 import numpy as np
 import pyarrow as pa
@@ -33,7 +32,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from .scratch import store, text_batches
-from .text import slices
+from .text import keep, slices
 
 
 _SIGNS = frozenset(".,;:!?")
@@ -49,7 +48,7 @@ class Encoded:
     ``limit`` runs: a run that is met again moves to the younger, the older is forgotten.
     """
 
-    def __init__(self, path: str, limit: int = 250_000):
+    def __init__(self, path: str, limit: int = 150_000):
         os.environ.setdefault("TOKENIZERS_PARALLELISM", "false")
         from tokenizers import Tokenizer, pre_tokenizers
 
@@ -128,12 +127,6 @@ class Encoded:
         return learned
 
 
-@lru_cache(maxsize=1)
-def _encoded(path: str, call: str) -> Encoded:
-    """One for each worker process and call of :func:`pieces`: its tasks share what is known, no other call does."""
-    return Encoded(path)
-
-
 PIECE = "doc_id long, piece int, start long, length long, ids_crc32 long"
 
 
@@ -143,8 +136,8 @@ def pieces(docs: DataFrame, tokenizer: str, capacity: int = 4096, end_id: int =
     end, call = np.array([end_id], "<u4").tobytes(), uuid.uuid4().hex
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        encoded = _encoded(tokenizer, call)
-        for batch in (part for whole in batches for part in slices(whole, "text", 16_000_000)):
+        encoded = keep(("tokens", tokenizer, call), lambda: Encoded(tokenizer))  # tasks of this call share what is known
+        for batch in (part for whole in batches for part in slices(whole, "text", 8_000_000)):
             rows: tuple[list, ...] = ([], [], [], [], [])
             for key, own in zip(batch.column(0).to_pylist(), encoded.texts([t or "" for t in batch.column(1).to_pylist()])):
                 ids = memoryview(own + end)

@@ -26,7 +26,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql.types import StructType
 
 from .scratch import text_batches
-from .text import WordHashes, hashed_words, mix, ngrams, room_after, slices, utf8
+from .text import WordHashes, hashed_words, keep, mix, ngrams, room_after, slices, utf8
 
 _SYMBOLS = b"#*$%&|<>"
 _SPACES = b" \t\n\r\x0b\x0c"
@@ -143,7 +143,7 @@ def measure(docs: DataFrame, rules: tuple[Rule, ...], text: str, sample_rows: in
     """
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        hashes = WordHashes()
+        hashes = keep("words", WordHashes)
         for rule in rules:
             rule.rejects(Text(b"warm up", 2, 6, 0, 0, 1))
         for whole in batches:
@@ -185,7 +185,7 @@ def judge(
     cascade = ordered(rules, measure(docs, rules, text, sample_rows, min_words))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        hashes = WordHashes()
+        hashes = keep("words", WordHashes)
         for whole in batches:
             for batch in slices(whole, read):
                 texts, repeated = _texts(batch, read, hashes)

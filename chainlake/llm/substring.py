@@ -7,12 +7,13 @@ that id that is placed before this one) is removed; windows are judged on the in
 1. Anchors: in each window the 8-word phrase of least hash. Equal windows have equal
    anchors, so a window can only recur if its anchor does. About one phrase in seven is an
    anchor; their counts over the whole corpus confirm the recurring ones.
-2. Documents are dealt to buckets of about ``bucket_rows`` by a hash of id and text. Each bucket
-   gets its recurring phrases, compiles them to an automaton (over word numbers), and
-   streams its documents through it, which locates every occurrence. The windows around an
-   occurrence are the only ones that can recur.
-3. These windows' hashes meet, each with the least (id, start) of its bucket only; what is
-   not the least of all is removed. The texts are read by bucket again and cut.
+2. Documents and phrases are dealt to shards of about ``bucket_rows`` documents by a hash of id and
+   text: a shard gets the recurring phrases that its documents may hold, each with one place
+   where its words stand. They are compiled to an automaton (over word numbers), and all
+   the shard's documents stream through it, which locates every occurrence. The windows
+   around an occurrence are the only ones that can recur.
+3. These windows' hashes meet, each with the least (id, start) of its shard only; what is
+   not the least of all is removed. The texts are read by shard again and cut.
 
 Copies, windows and cuts belong to a row, known by its bucket and its place among the
 bucket's (id, text) in order; the id alone only says what is earlier.
@@ -25,7 +26,7 @@ SHA-256 beforehand: with ``width`` words or more nothing of them stays.
 Edge cases: a null text has no words; texts of fewer than ``width`` words lose nothing; rows
 with equal id and text are one document and get equal answers, null ids too; different texts
 of one id, or of null ids, are documents of their own; a null id comes after all others; an
-empty table gives an empty table; columns that are not carried are ignored. Hashes of
+empty table gives an empty table; columns that are not carried are ignored; ids are whole numbers. Hashes of
 phrases and windows have 64 bits.
 """
 
@@ -37,12 +38,13 @@ from itertools import compress
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
 from .scratch import store, text_batches
-from .text import WordHashes, hashed_words, ngrams, room_after, slices, utf8
+from .text import WordHashes, hashed_words, keep, ngrams, room_after, slices, utf8
 
 PHRASE = 8
 _LAST = (1 << 63) - 1  # stands for a null id
@@ -66,48 +68,52 @@ def _order(id: str):
 
 
 def _recurring(dealt: DataFrame, total: int, width: int, sample_rows: int) -> DataFrame:
-    """(bucket, hash) of the anchors that the corpus has more than once."""
+    """(bucket, hash, row, start) of the anchors that the corpus has more than once, with one place in each bucket that has it."""
 
     def counted(heavy):
         def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-            hashes = WordHashes()
+            hashes = keep("words", WordHashes)
             for whole in batches:
                 for batch in slices(whole, "_text"):
                     flat, lens = hashed_words([(x or b"").split() for x in utf8(batch.column(1))], hashes)
                     at, grams = anchors(flat, lens, width)
                     text = np.searchsorted(np.cumsum(lens), at, "right")
                     bucket = batch.column(0).to_numpy()[text]
+                    row, start = batch.column(2).to_numpy()[text], at - (np.cumsum(lens) - lens)[text]
                     order = np.lexsort((bucket, grams))
                     bucket, grams = bucket[order], grams[order]
                     first = np.flatnonzero(np.concatenate([[True], (grams[1:] != grams[:-1]) | (bucket[1:] != bucket[:-1])])) if len(grams) else np.empty(0, np.int64)
                     n = np.diff(np.append(first, len(grams)))
-                    bucket, grams = bucket[first], grams[first].view(np.int64)
+                    bucket, grams, row, start = bucket[first], grams[first].view(np.int64), row[order[first]], start[order[first]].astype(np.int32)
                     salt = np.zeros(len(grams), np.int32)
                     if heavy is not None and len(heavy.value) and len(grams):
                         near = np.minimum(np.searchsorted(heavy.value, grams), len(heavy.value) - 1)
                         salt = np.where(heavy.value[near] == grams, 1 + bucket % _SALTS, 0).astype(np.int32)
                     for i in range(0, len(grams), 100_000):
-                        yield pa.RecordBatch.from_pydict({"hash": grams[i : i + 100_000], "bucket": bucket[i : i + 100_000], "n": n[i : i + 100_000].astype(np.int32), "salt": salt[i : i + 100_000]})
+                        made = {"hash": grams, "bucket": bucket, "n": n.astype(np.int32), "salt": salt, "row": row, "start": start}
+                        yield pa.RecordBatch.from_pydict({k: x[i : i + 100_000] for k, x in made.items()})
 
         return run
 
-    schema = "hash long, bucket int, n int, salt int"
-    texts = dealt.select("_bucket", "_text")
+    schema = "hash long, bucket int, n int, salt int, row long, start int"
+    texts = dealt.select("_bucket", "_text", "_row")
     every = max(1, -(-total // sample_rows))
-    sample = dealt.filter(F.pmod(F.xxhash64("_order", "_text", F.lit("heavy")), F.lit(every)) == 0).select("_bucket", "_text")
+    sample = dealt.filter(F.pmod(F.xxhash64("_order", "_text", F.lit("heavy")), F.lit(every)) == 0).select("_bucket", "_text", "_row")
     least = max(50, sample_rows // 200)
     found = sample.mapInArrow(counted(None), schema).groupBy("hash").agg(F.sum("n").alias("n")).filter(F.col("n") >= least)
     heavy = np.sort(np.array([r[0] for r in found.select("hash").collect()], np.int64))  # at most (anchors of the sample) / least
     sent = dealt.sparkSession.sparkContext.broadcast(heavy)
     rows = texts.mapInArrow(counted(sent), schema)
     times = F.sum("n").over(Window.partitionBy("hash", "salt"))
-    return rows.withColumn("times", times).filter("salt > 0 or times > 1").select("bucket", "hash").distinct()
+    often = rows.withColumn("times", times).filter("salt > 0 or times > 1")
+    return often.groupBy("bucket", "hash").agg(F.min(F.struct("row", "start")).alias("at")).select("bucket", "hash", "at.row", "at.start")
 
 
 def _copies(dealt: DataFrame) -> DataFrame:
     """(bucket, order, sha) of the rows whose whole text an earlier id has."""
     texts = dealt.filter("_text is not null").select("_bucket", "_order", F.unhex(F.sha2("_text", 256)).alias("sha"))
     first = texts.groupBy("sha").agg(F.min("_order").alias("low"), F.max("_order").alias("high")).filter("low < high")
+    first = store(first, "copied")  # written, so the join has exchanges of its own, which Spark can split where a text is frequent
     return texts.join(first, "sha").filter("_order > low").select(F.col("_bucket").alias("bucket"), F.col("_order").alias("order"), "sha").distinct()
 
 
@@ -125,21 +131,35 @@ def _is_copy(told: pa.Table, orders: np.ndarray, texts: list[bytes | None]) -> l
     return [o in ids and (o, sha256(x or b"").digest()) in copies for o, x in zip(orders.tolist(), texts)]
 
 
-def _phrases(flat: np.ndarray, lens: np.ndarray, known: np.ndarray, width: int) -> np.ndarray:
-    """Starts of windows around the occurrences of the known phrases, which an automaton locates."""
+def _automaton(told: pa.Table, rows: np.ndarray, texts: list[bytes | None], number: dict[int, int]):
+    """The automaton of the told phrases, in numbers of word hashes; None if no fresh text can hold any."""
     import ahocorasick
 
-    at, grams = anchors(flat, lens, width)
-    at, grams = at[np.isin(grams, known)], grams[np.isin(grams, known)]
-    if not len(at):
-        return np.empty(0, np.int64)
-    _, number = np.unique(flat, return_inverse=True)
-    numbers = number.tolist()
+    hashes = keep("words", WordHashes)
+    places: dict[int, list[int]] = {}
+    for i, row in enumerate(rows.tolist()):
+        places.setdefault(row, []).append(i)
+    words: dict[int, list[bytes]] = {}
     automaton = ahocorasick.Automaton(ahocorasick.STORE_LENGTH, ahocorasick.KEY_SEQUENCE)
-    for p in at[np.unique(grams, return_index=True)[1]].tolist():
-        automaton.add_word(tuple(numbers[p : p + PHRASE]))
+    for gram, row, start in zip(*(told.column(c).to_pylist() for c in ("hash", "row", "start"))):
+        for i in places[row]:  # more than one only where an id has several texts
+            if i not in words:
+                words[i] = (texts[i] or b"").split()
+            phrase = [hashes[w] for w in words[i][start : start + PHRASE]]
+            if len(places[row]) == 1 or (len(phrase) == PHRASE and ngrams(np.array(phrase, np.uint64), PHRASE)[0] == np.uint64(gram & (1 << 64) - 1)):
+                key = tuple([number.get(x, -1) for x in phrase])
+                if -1 not in key:
+                    automaton.add_word(key)
+                break
+    if not len(automaton):
+        return None
     automaton.make_automaton()
-    possible = np.zeros(len(flat) + 1, np.int64)
+    return automaton
+
+
+def _openings(automaton, numbers: list[int], lens: np.ndarray, width: int) -> np.ndarray:
+    """Starts of windows around the occurrences that the automaton locates."""
+    possible = np.zeros(len(numbers) + 1, np.int64)
     base = 0
     for n in lens.tolist():
         ends = np.fromiter((e for e, _ in automaton.iter(tuple(numbers[base : base + n]))), np.int64) if n >= width else ()
@@ -148,8 +168,7 @@ def _phrases(flat: np.ndarray, lens: np.ndarray, known: np.ndarray, width: int)
             np.add.at(possible, np.maximum(start - (width - PHRASE), base), 1)
             np.add.at(possible, start + 1, -1)
         base += n
-    open_ = np.cumsum(possible[:-1]) > 0
-    return np.flatnonzero(open_ & (room_after(lens) >= width))
+    return np.flatnonzero((np.cumsum(possible[:-1]) > 0) & (room_after(lens) >= width))
 
 
 def _windows(width: int):
@@ -159,15 +178,17 @@ def _windows(width: int):
     """
 
     def run(docs: pa.Table, told: pa.Table) -> pa.Table:
-        known = told.column("hash").combine_chunks().drop_null().to_numpy().view(np.uint64)
+        known = told.filter(pc.is_valid(told.column("hash")))
         docs = docs.combine_chunks()
         orders = docs.column("_order").to_numpy()
         texts = utf8(docs.column("_text").combine_chunks()) if told.num_rows else []
         places = _places(orders[: len(texts)], texts)
         copy = np.array(_is_copy(told, orders[: len(texts)], texts), bool)
-        fresh = np.flatnonzero(~copy) if len(known) else np.empty(0, np.int64)
-        flat, lens = hashed_words([(texts[i] or b"").split() for i in fresh.tolist()], WordHashes())
-        start = _phrases(flat, lens, known, width)
+        fresh = np.flatnonzero(~copy) if known.num_rows else np.empty(0, np.int64)
+        flat, lens = hashed_words([(texts[i] or b"").split() for i in fresh.tolist()], keep("words", WordHashes))
+        different, number = np.unique(flat, return_inverse=True)
+        automaton = _automaton(known, docs.column("_row").to_numpy(), texts, dict(zip(different.tolist(), range(len(different))))) if len(flat) else None
+        start = _openings(automaton, number.tolist(), lens, width) if automaton else np.empty(0, np.int64)
         ends = np.cumsum(lens)
         text = np.searchsorted(ends, start, "right")
         hashed = ngrams(flat, width)[start] if len(start) else np.empty(0, np.uint64)
@@ -221,23 +242,23 @@ def _cut(width: int, names: list[str], as_is: bool):
 
 
 def cut_repeats(
-    docs: DataFrame, id: str = "doc_id", text: str = "text", carry: tuple[str, ...] = (), width: int = 20, bucket_rows: int = 400, sample_rows: int = 20_000, as_is: bool = False
+    docs: DataFrame, id: str = "doc_id", text: str = "text", carry: tuple[str, ...] = (), width: int = 20, bucket_rows: int = 400, bucket_bytes: int = 4_000_000, sample_rows: int = 20_000, as_is: bool = False
 ) -> DataFrame:
     """``id``, ``carry`` columns, n_words, n_removed and kept_text (the kept words joined by one space).
 
     as_is: a text that loses nothing keeps its white space.
     """
     text_batches(docs.sparkSession)
-    total = docs.count()
-    buckets = max(1, -(-total // bucket_rows))
+    total, size = docs.agg(F.count(F.lit(1)), F.coalesce(F.sum(F.octet_length(text)), F.lit(0))).first()
+    buckets = max(1, -(-total // bucket_rows), -(-size // bucket_bytes))
     names = [id, *carry]
-    dealt = docs.select(*names, F.col(text).alias("_text"), _order(id).alias("_order"))
+    dealt = docs.select(*names, F.col(text).alias("_text"), _order(id).alias("_order"), F.coalesce(F.col(id).cast("long"), F.xxhash64(text)).alias("_row"))
     dealt = dealt.withColumn("_bucket", F.pmod(F.xxhash64("_order", "_text"), F.lit(buckets)).cast("int"))
     copies = store(_copies(dealt), "copies")
     phrases = store(_recurring(dealt, total, width, sample_rows), "phrases")
 
     none = lambda kind: F.lit(None).cast(kind)
-    told = phrases.select("bucket", "hash", none("long").alias("order"), none("binary").alias("sha")).union(copies.select("bucket", none("long"), "order", "sha"))
+    told = phrases.select("bucket", "hash", "row", "start", none("long").alias("order"), none("binary").alias("sha")).union(copies.select("bucket", none("long"), none("long"), none("int"), "order", "sha"))
     # the same exchange of the texts serves both cogroups
     found = dealt.groupBy("_bucket").cogroup(told.groupBy("bucket")).applyInArrow(_windows(width), "bucket int, hash long, order long, at long, known boolean")
     salt = F.when(F.col("known"), F.col("bucket") + 1).otherwise(0)

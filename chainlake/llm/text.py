@@ -7,7 +7,8 @@ words, so all executors and all runs agree.
 
 from __future__ import annotations
 
-from collections.abc import Iterator
+import ctypes
+from collections.abc import Callable, Hashable, Iterator
 
 import numpy as np
 import pyarrow as pa
@@ -33,6 +34,27 @@ class WordHashes(dict):
         return value
 
 
+_held: dict[Hashable, object] = {}
+
+
+def keep(owner: Hashable, make: Callable[[], object]):
+    """What a worker process keeps from one task to the next: one thing, that of the operator that ran last."""
+    if owner not in _held:
+        _held.clear()
+        give_back()
+        _held[owner] = make()
+    return _held[owner]
+
+
+def give_back() -> None:
+    """Return freed memory to the system; workers live on between stages and share an executor's memory."""
+    pa.default_memory_pool().release_unused()
+    try:
+        ctypes.CDLL(None).malloc_trim(0)
+    except (AttributeError, OSError):  # another C library
+        pass
+
+
 def mix(x: np.ndarray, y: np.ndarray) -> np.ndarray:
     """An order-dependent 64-bit combination of two arrays of fingerprints."""
     with np.errstate(over="ignore"):
@@ -77,7 +99,7 @@ def room_after(lens: np.ndarray) -> np.ndarray:
     return np.repeat(ends, lens) - np.arange(int(lens.sum()), dtype=np.int64)
 
 
-def slices(batch: pa.RecordBatch, column: str, most: int = 4_000_000) -> Iterator[pa.RecordBatch]:
+def slices(batch: pa.RecordBatch, column: str, most: int = 2_000_000) -> Iterator[pa.RecordBatch]:
     """The batch in row slices of about ``most`` bytes of ``column``; a longer text comes alone."""
     total = np.cumsum(_lengths(batch.column(column)))
     start = 0
@@ -86,6 +108,7 @@ def slices(batch: pa.RecordBatch, column: str, most: int = 4_000_000) -> Iterato
         end = max(start + 1, int(np.searchsorted(total, base + most, "right")))
         yield batch.slice(start, end - start)
         start = end
+    give_back()
 
 
 def _lengths(column: pa.Array) -> np.ndarray:
