@@ -5,6 +5,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from . import ordered
+
 
 def growth_line(points: DataFrame, x: str, y: str) -> DataFrame:
     """Least squares (intercept, slope); the slope is floored at 0 after the intercept was computed.
@@ -26,22 +28,51 @@ def project(line: DataFrame, at: int) -> Column:
 
 
 def nearest_rank(rows: DataFrame, group: str, value: str, quantiles: tuple[tuple[str, float], ...] = (("p50", 0.5), ("p99", 0.99))) -> DataFrame:
-    """n, the value at rank round((n - 1) * q), the largest and the sum, by group."""
-    order = Window.partitionBy(group).orderBy(value)
-    ranked = rows.select(group, value, (F.row_number().over(order) - 1).alias("r"), F.count(F.lit(1)).over(Window.partitionBy(group)).alias("n"))
-    picked = [F.max(F.when(F.col("r") == F.floor((F.col("n") - 1) * q + 0.5), F.col(value))).alias(name) for name, q in quantiles]
-    return ranked.groupBy(group).agg(F.count(F.lit(1)).alias("n"), *picked, F.max(value).alias("largest"))
+    """n, the value at rank round((n - 1) * q), the largest and the sum, by group.
+
+    An approximate percentile, whose error in rank is bounded, brackets each value; only the
+    rows within a bracket are ranked, so no task sorts a whole group.
+    """
+    error, wide = 1e-4, 1e-3
+    around = [F.percentile_approx(value, [max(q - wide, 0.0), min(q + wide, 1.0)], int(1 / error)).alias(f"_{name}") for name, q in quantiles]
+    known = rows.filter(F.col(value).isNotNull())
+    sums = known.groupBy(group).agg(F.count(F.lit(1)).alias("n"), F.max(value).alias("largest"), F.sum(value).alias("total"), *around)
+    near = known.select(F.col(group).alias("_group"), F.col(value).alias("_value")).join(sums, F.col("_group").eqNullSafe(F.col(group)))
+    found = sums.select(group, "n", "largest", "total")
+    for name, q in quantiles:
+        low, high = F.col(f"_{name}")[0], F.col(f"_{name}")[1]
+        below = near.groupBy(group).agg(F.count_if(F.col("_value") < low).alias("_below"))
+        inside = near.filter(F.col("_value").between(low, high)).withColumn("_r", F.row_number().over(Window.partitionBy(group).orderBy("_value")) - 1)
+        picked = inside.join(below.withColumnRenamed(group, "_of"), F.col(group).eqNullSafe(F.col("_of"))).filter(F.col("_r") + F.col("_below") == F.floor((F.col("n") - 1) * q + 0.5))
+        found = found.join(picked.select(F.col(group).alias("_of"), F.col("_value").alias(name)), F.col(group).eqNullSafe(F.col("_of")), "left").drop("_of")
+    return found.select(group, "n", *[name for name, _ in quantiles], "largest", "total")
+
+
+def latency(rows: DataFrame, value: str) -> dict:
+    """n, p50, p99, largest and total of all rows; zeros without any."""
+    row = nearest_rank(rows.withColumn("_all", F.lit(0)), "_all", value).first()
+    return {k: row[k] if row else 0 for k in ("n", "p50", "p99", "largest", "total")}
+
+
+def ratio(part: Column, whole: Column) -> Column:
+    """part / whole, null where there is no whole."""
+    return F.try_divide(part.cast("double"), whole.cast("double"))
+
+
+def within_budget(rows: DataFrame, cost: Column, budget: int, *newest_first: Column) -> DataFrame:
+    """The newest rows whose costs together stay within a budget; what an eviction of the oldest leaves."""
+    used = ordered.running_sum(rows, cost, "_used", *newest_first)
+    return used.filter(F.col("_used") <= budget).drop("_used")
 
 
 def carried_sections(lines: DataFrame, line_no: str, text: str) -> DataFrame:
     """(section, height, bytes) of "height bytes" lines below their "network X" line; the rest is passed over."""
-    at = Window.orderBy(line_no).rowsBetween(Window.unboundedPreceding, Window.currentRow)
     name = F.when(F.col(text).rlike(r"^\s*network\s+\S+"), F.regexp_extract(text, r"^\s*network\s+(\S+)", 1))
-    found = lines.withColumn("section", F.last_value(name, ignoreNulls=True).over(at)).filter(F.col(text).rlike(r"^\s*\d+\s+\d+\s*$"))
+    found = ordered.last_known(lines, name, "section", F.col(line_no)).filter(F.col(text).rlike(r"^\s*\d+\s+\d+\s*$"))
     return found.select("section", F.regexp_extract(text, r"(\d+)", 1).cast("long").alias("height"), F.regexp_extract(text, r"\d+\s+(\d+)", 1).cast("long").alias("bytes"))
 
 
 def monotone(rows: DataFrame, value: str, *order: str) -> DataFrame:
     """Rows whose value exceeds all earlier ones."""
-    before = Window.orderBy(*order).rowsBetween(Window.unboundedPreceding, -1)
-    return rows.withColumn("_top", F.max(value).over(before)).filter(F.col("_top").isNull() | (F.col(value) > F.col("_top"))).drop("_top")
+    topped = ordered.highest_before(rows, value, "_top", *map(F.col, order))
+    return topped.filter(F.col("_top").isNull() | (F.col(value) > F.col("_top"))).drop("_top")

@@ -9,7 +9,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-_LINE = ["l_linenumber", "l_partkey", "l_suppkey", "l_quantity", "l_extendedprice", "l_discount", "l_tax", "l_returnflag", "l_linestatus", "l_shipdate"]
+LINE = ["l_linenumber", "l_partkey", "l_suppkey", "l_quantity", "l_extendedprice", "l_discount", "l_tax", "l_returnflag", "l_linestatus", "l_shipdate"]
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -25,7 +25,7 @@ def txs(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def _lines(spark: SparkSession, sf_dir: str) -> DataFrame:
-    order = Window.partitionBy("l_orderkey").orderBy(*_LINE)
+    order = Window.partitionBy("l_orderkey").orderBy(*LINE)
     return table(spark, sf_dir, "lineitem").withColumn("vout", (F.row_number().over(order) - 1).cast("long"))
 
 

@@ -2,29 +2,23 @@
 
 from __future__ import annotations
 
-from collections.abc import Callable
-
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from ..functions import columns as C
-from ..operators import chain, measures, spends
+from ..operators import chain, measures, ordered, spends
+from . import blocks, register  # blocks registers its queries
 from .adapter import SQL, ins, outs, table, txs
+from .register import ORACLE_SQL, QUERIES
+
+__all__ = ["ORACLE_SQL", "QUERIES", "blocks"]
 
-QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
-ORACLE_SQL: dict[str, str] = {}
 FORK = 1200
 
 
 def query(sql: str, views: bool = True):
-    """Register a query under its name with its SQL; ``views`` puts the chain views before it."""
-
-    def add(f):
-        QUERIES[f.__name__] = f
-        ORACLE_SQL[f.__name__] = f"WITH {SQL}{sql}" if views else sql
-        return f
-
-    return add
+    """Register a query under its name with its SQL; ``views`` puts the views over the order tables before it."""
+    return register.query(sql, SQL if views else "")
 
 
 def _linked(s: SparkSession, d: str) -> DataFrame:
@@ -77,7 +71,7 @@ def double_spend_rejected(s, d):
 
 @query(FEES + "SELECT txid, height, fee, coinbase FROM fees")
 def tx_fees(s, d):
-    return _fees(s, d)
+    return _fees(s, d).select("txid", "height", "fee", "coinbase")
 
 
 @query(FEES + "SELECT height, CAST(sum(CASE WHEN coinbase THEN 0 ELSE fee END) AS BIGINT) AS total_fee, count(*) AS tx_count FROM fees GROUP BY 1")
@@ -153,9 +147,9 @@ def ordinals(s, d):
     return chain.ordinals(txs(s, d).select("height", "txid"), "height", "txid").select("height", "txid", F.col("ordinal").cast("long").alias("tx_index"))
 
 
-@query("SELECT height, txid, tx_index FROM tx WHERE height <= 100 QUALIFY row_number() OVER (PARTITION BY height ORDER BY tx_index) <= 3")
+@query("SELECT height, txid, tx_index FROM tx QUALIFY row_number() OVER (PARTITION BY height ORDER BY tx_index) <= 3")
 def top3_txs(s, d):
-    return txs(s, d).filter("height <= 100 and tx_index < 3").select("height", "txid", "tx_index")
+    return txs(s, d).filter("tx_index < 3").select("height", "txid", "tx_index")
 
 
 @query("SELECT l_orderkey, l_linenumber, l_partkey FROM lineitem QUALIFY row_number() OVER (PARTITION BY l_orderkey, l_linenumber ORDER BY l_partkey, l_suppkey) = 1", views=False)
@@ -171,9 +165,6 @@ def chain_heights(s, d):
 
 
 def _headers(s: SparkSession, d: str) -> DataFrame:
-    from ..sources.shared import checkpoint_dir
-
-    checkpoint_dir(s)
     e = table(s, d, "events")
     low = e.agg(F.min("event_id").alias("low"))
     return e.crossJoin(F.broadcast(low)).select(F.col("event_id").alias("hash"), F.when(F.col("event_id") > F.col("low"), F.col("event_id") - 1).alias("prev"), (1 + F.col("event_id") % 7).alias("work"))  # one row on the right
@@ -184,9 +175,59 @@ def best_tip(s, d):
     return chain.best_tip(chain.rooted(_headers(s, d)))
 
 
-@query("SELECT count(*) AS total_records, count(DISTINCT user_id) AS unique_blocks, count(*) - count(DISTINCT user_id) AS orphans FROM events", views=False)
+#: A tree with many forks, ties and roots without a parent; each fifth header comes twice.
+_GRAPH = """rec AS (SELECT event_id AS hash, CASE WHEN event_id = (SELECT min(event_id) FROM events) THEN NULL WHEN event_id % 97 = 5 THEN event_id + 1000000000 ELSE event_id // 2 END AS prev,
+         1 + event_id % 7 AS work, event_id % 50 AS file_id FROM events),
+twice AS (SELECT * FROM rec UNION ALL SELECT hash, prev, work, file_id + 100 FROM rec WHERE hash % 5 = 0),
+up(hash, height, cum_work) AS (SELECT hash, 0, work FROM rec WHERE prev IS NULL UNION ALL SELECT r.hash, height + 1, cum_work + work FROM up JOIN rec r ON r.prev = up.hash),
+tip AS (SELECT hash FROM up ORDER BY cum_work DESC, hash LIMIT 1),
+main(hash) AS (SELECT hash FROM tip UNION ALL SELECT prev FROM main JOIN rec USING (hash) WHERE prev IS NOT NULL),
+tips AS (SELECT hash, 1 + hash % 4 AS branch_length, CASE hash % 3 WHEN 0 THEN 'active' WHEN 1 THEN 'valid-fork' ELSE 'valid-headers' END AS status FROM rec WHERE hash % 50 = 7),
+walk(hash, n) AS (SELECT hash, branch_length FROM tips WHERE status <> 'active' UNION SELECT prev, n - 1 FROM walk JOIN rec USING (hash) WHERE n > 1 AND prev IS NOT NULL)
+"""
+
+
+def _graph(s: SparkSession, d: str) -> tuple[DataFrame, DataFrame]:
+    """(all records, the first record of each header)."""
+    e = table(s, d, "events")
+    low = e.agg(F.min("event_id").alias("low"))
+    prev = F.when(F.col("event_id") == F.col("low"), None).when(F.col("event_id") % 97 == 5, F.col("event_id") + 1_000_000_000).otherwise(F.floor(F.col("event_id") / 2))
+    rec = e.crossJoin(F.broadcast(low)).select(F.col("event_id").alias("hash"), prev.cast("long").alias("prev"), (1 + F.col("event_id") % 7).alias("work"), (F.col("event_id") % 50).alias("file_id"))  # one row on the right
+    records = rec.union(rec.filter("hash % 5 = 0").withColumn("file_id", F.col("file_id") + 100))
+    return records, chain.first_seen(records, "hash", "file_id").select("hash", "prev", "work")
+
+
+def _tips(headers: DataFrame) -> DataFrame:
+    status = F.element_at(F.array(F.lit("active"), F.lit("valid-fork"), F.lit("valid-headers")), (F.col("hash") % 3 + 1).cast("int"))
+    return headers.filter("hash % 50 = 7").select("hash", (1 + F.col("hash") % 4).alias("branch_length"), status.alias("status"))
+
+
+@register.query("SELECT hash, height::BIGINT AS height, cum_work::BIGINT AS cum_work FROM up", _GRAPH)
+def header_graph(s, d):
+    return chain.rooted(_graph(s, d)[1])
+
+
+@register.query("SELECT hash, height::BIGINT AS height, cum_work::BIGINT AS cum_work FROM main JOIN up USING (hash)", _GRAPH)
+def main_chain(s, d):
+    return chain.main_chain(_graph(s, d)[1])
+
+
+@register.query("SELECT (SELECT count(*) FROM twice) AS total_records, (SELECT count(DISTINCT hash) FROM twice) AS unique_blocks, (SELECT count(*) FROM main) AS main_chain, (SELECT count(DISTINCT hash) FROM twice) - (SELECT count(*) FROM main) AS orphans", _GRAPH)
 def header_stats(s, d):
-    return table(s, d, "events").agg(F.count(F.lit(1)).alias("total_records"), F.countDistinct("user_id").alias("unique_blocks")).withColumn("orphans", F.col("total_records") - F.col("unique_blocks"))
+    records, headers = _graph(s, d)
+    return chain.header_stats(records, headers, chain.main_chain(headers))
+
+
+@register.query("SELECT DISTINCT hash FROM walk", _GRAPH)
+def stale_branch_walk(s, d):
+    headers = _graph(s, d)[1]
+    return chain.branch_blocks(headers, chain.stale_tips(_tips(headers)))
+
+
+@register.query("SELECT hash, work FROM rec WHERE hash NOT IN (SELECT hash FROM walk)", _GRAPH)
+def without_stale_branches(s, d):
+    headers = _graph(s, d)[1]
+    return chain.without(headers.select("hash", "work"), chain.branch_blocks(headers, chain.stale_tips(_tips(headers))))
 
 
 @query("SELECT event_id, user_id FROM events WHERE user_id NOT IN (SELECT user_id FROM events WHERE event_type = 'error' AND value > 90)", views=False)
@@ -195,22 +236,12 @@ def orphan_anti(s, d):
     return e.join(e.filter("event_type = 'error' and value > 90").select("user_id").distinct(), "user_id", "left_anti").select("event_id", "user_id")
 
 
-@query("SELECT DISTINCT event_id - k AS event_id FROM events, range(0, 3) r(k) WHERE event_type = 'error'", views=False)
-def stale_branch_walk(s, d):
-    return table(s, d, "events").filter("event_type = 'error'").select("event_id", F.explode(F.sequence(F.lit(0), F.lit(2))).alias("back")).select((F.col("event_id") - F.col("back")).alias("event_id")).distinct()
-
-
 @query("SELECT max(a.event_id) AS fork_height FROM events a JOIN events b ON a.event_id = b.event_id WHERE b.user_id % 3 > 0", views=False)
 def fork_point(s, d):
     e = table(s, d, "events").select(F.col("event_id").alias("height"), F.col("user_id").alias("hash"))
     return chain.fork_point(e, e.withColumn("hash", F.when(F.col("hash") % 3 > 0, F.col("hash")).otherwise(-1)))
 
 
-@query("SELECT user_id AS height, max(event_id) AS version FROM events WHERE user_id <= 50 GROUP BY 1", views=False)
-def disconnect_to_fork(s, d):
-    return table(s, d, "events").filter("user_id <= 50").groupBy(F.col("user_id").alias("height")).agg(F.max("event_id").alias("version"))
-
-
 @query("SELECT event_id, value FROM (SELECT event_id, value, max(value) OVER (ORDER BY event_id ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING) AS top FROM events) WHERE top IS NULL OR value > top", views=False)
 def monotone_checkpoints(s, d):
     return measures.monotone(table(s, d, "events").select("event_id", "value"), "value", "event_id")
@@ -224,7 +255,7 @@ l AS (SELECT n, (sy - (n * sxy - sx * sy) / (n * sxx - sx * sx) * sx) / n AS int
 
 def _points(s: SparkSession, d: str) -> DataFrame:
     per = txs(s, d).groupBy("height").agg(F.count(F.lit(1)).alias("n"))
-    return per.select("height", F.sum("n").over(Window.orderBy("height").rowsBetween(Window.unboundedPreceding, 0)).alias("bytes")).filter("height % 100 = 0")
+    return ordered.running_sum(per, F.col("n"), "bytes", F.col("height")).select("height", "bytes").filter("height % 100 = 0")
 
 
 @query(_POINTS + "SELECT n, round(intercept, 4) AS intercept, round(slope, 4) AS slope FROM l")
@@ -293,9 +324,9 @@ def json_rpc_envelope(s, d):
 
 
 @query("""WITH r AS (SELECT event_type, value, row_number() OVER (PARTITION BY event_type ORDER BY value) - 1 AS r, count(*) OVER (PARTITION BY event_type) AS n FROM events)
-SELECT event_type, count(*) AS n, max(value) FILTER (r = floor((n - 1) * 0.5 + 0.5)) AS p50, max(value) FILTER (r = floor((n - 1) * 0.99::DOUBLE + 0.5)) AS p99, max(value) AS largest FROM r GROUP BY 1""", views=False)
+SELECT event_type, count(*) AS n, max(value) FILTER (r = floor((n - 1) * 0.5 + 0.5)) AS p50, max(value) FILTER (r = floor((n - 1) * 0.99::DOUBLE + 0.5)) AS p99, max(value) AS largest, round(sum(value), 3) AS total FROM r GROUP BY 1""", views=False)
 def latency_percentiles(s, d):
-    return measures.nearest_rank(table(s, d, "events"), "event_type", "value")
+    return measures.nearest_rank(table(s, d, "events"), "event_type", "value").withColumn("total", F.round("total", 3))
 
 
 @query("SELECT event_type AS stage, round(min(value), 6) AS low, round(median(value), 6) AS mid, round(max(value), 6) AS high FROM events GROUP BY 1", views=False)
@@ -307,13 +338,12 @@ def stage_medians(s, d):
 def rates(s, d):
     e = table(s, d, "events")
     own = e.groupBy("event_type").agg(F.count(F.lit(1)).alias("n"), F.sum("value").alias("v"))
-    return own.select("event_type", F.round(F.try_divide("n", "v"), 6).alias("per_unit"), F.round(100.0 * F.col("n") / F.sum("n").over(Window.partitionBy()), 6).alias("share"))
+    return own.select("event_type", F.round(measures.ratio(F.col("n"), F.col("v")), 6).alias("per_unit"), F.round(100.0 * measures.ratio(F.col("n"), F.sum("n").over(Window.partitionBy())), 6).alias("share"))
 
 
 @query("SELECT event_id FROM (SELECT event_id, sum(112) OVER (ORDER BY event_id DESC) AS used FROM events) WHERE used <= 11200", views=False)
 def cache_budget_window(s, d):
-    used = F.sum(F.lit(112)).over(Window.orderBy(F.desc("event_id")).rowsBetween(Window.unboundedPreceding, 0))
-    return table(s, d, "events").select("event_id", used.alias("used")).filter("used <= 11200").select("event_id")
+    return measures.within_budget(table(s, d, "events").select("event_id"), F.lit(112), 11200, F.desc("event_id"))
 
 
 @query("SELECT user_id FROM events WHERE event_type = 'error' UNION SELECT user_id FROM events WHERE event_type = 'click'", views=False)

@@ -1,4 +1,4 @@
-"""Block files (blk00000.dat ...) as DataFrames: one row per block, nested; then five flat tables."""
+"""Block files (blk00000.dat ...) as DataFrames: one row per block, nested; then five flat tables and three for lookups."""
 
 from __future__ import annotations
 
@@ -8,6 +8,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from ..operators import spends
 from . import codec
 
 _IN = "input_index long, prev_txid binary, prev_vout long, script_sig_len long, sequence long, witness_items long, witness_bytes long, is_coinbase boolean"
@@ -17,29 +18,45 @@ HEADER = "hash binary, prev_hash binary, merkle_root binary, version int, time l
 WHERE = "file_id int, offset long, record_len long"
 
 
-def _files(spark: SparkSession, folder: str) -> DataFrame:
-    """file_id and whole content; one task a file. Block files have at most 128 MB."""
+class NoFiles(FileNotFoundError):
+    """A folder without any block file."""
+
+
+def files(spark: SparkSession, folder: str) -> DataFrame:
+    """(file_id, content) of the block files, one task a file; these have at most 128 MB. Other names are passed over."""
     raw = spark.read.format("binaryFile").option("pathGlobFilter", "blk[0-9][0-9][0-9][0-9][0-9].dat").load(folder)
+    if raw.select("path").isEmpty():
+        raise NoFiles(folder)
     return raw.select(F.regexp_extract("path", r"blk(\d{5})\.dat$", 1).cast("int").alias("file_id"), "content")
 
 
-def _key(spark: SparkSession, folder: str) -> bytes | None:
+def xor_key(spark: SparkSession, folder: str) -> bytes | None:
     found = spark.read.format("binaryFile").option("pathGlobFilter", "xor.dat").load(folder).select("content").head(1)
     return bytes(found[0][0]) if found else None
 
 
-def _scan(spark: SparkSession, folder: str, schema: str, decode) -> DataFrame:
-    key = _key(spark, folder)
+def network(content: DataFrame, key: bytes | None) -> str | None:
+    """The network of the first file (file_id, content)."""
+    head = content.orderBy("file_id").select(F.substring("content", 1, 8)).head(1)
+    return codec.network_of(bytes(head[0][0]), key) if head else None
+
+
+def _scan(content: DataFrame, key: bytes | None, schema: str, decode) -> DataFrame:
+    """``decode(payload)`` of each record of (file_id, content), with its place; a bad one fails with file and offset."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for file_id, content in zip(batch.column(0).to_pylist(), batch.column(1)):
                 rows = []
-                for offset, payload in codec.records(codec.unmask(content.as_buffer().to_pybytes(), key)):
-                    rows.append({"file_id": file_id, "offset": offset, "record_len": len(payload)} | decode(payload))
-                    if len(rows) == 200:
-                        yield pa.RecordBatch.from_pylist(rows, kinds)
-                        rows = []
+                data, offset = codec.unmask(content.as_buffer().to_pybytes(), key), 0
+                try:
+                    for offset, payload in codec.records(data):
+                        rows.append({"file_id": file_id, "offset": offset, "record_len": len(payload)} | decode(payload))
+                        if len(rows) == 200:
+                            yield pa.RecordBatch.from_pylist(rows, kinds)
+                            rows = []
+                except codec.BadBlock as e:
+                    raise codec.BadBlock(f"file {file_id}, record at {offset}: {e}") from e
                 if rows:
                     yield pa.RecordBatch.from_pylist(rows, kinds)
 
@@ -48,19 +65,75 @@ def _scan(spark: SparkSession, folder: str, schema: str, decode) -> DataFrame:
 
     shape = StructType.fromDDL(schema)
     kinds = to_arrow_schema(shape)
-    return _files(spark, folder).mapInArrow(run, shape)
+    return content.mapInArrow(run, shape)
 
 
-def headers(spark: SparkSession, folder: str) -> DataFrame:
+def headers_of(content: DataFrame, key: bytes | None = None) -> DataFrame:
     """The header pass: 80 bytes a record are decoded, payloads never leave the reader."""
-    return _scan(spark, folder, f"{WHERE}, {HEADER}", codec.header)
+    return _scan(content, key, f"{WHERE}, {HEADER}", codec.header)
+
+
+def blocks_of(content: DataFrame, key: bytes | None = None) -> DataFrame:
+    return _scan(content, key, f"{WHERE}, {_BLOCK}", codec.block)
+
+
+def headers(spark: SparkSession, folder: str) -> DataFrame:
+    return headers_of(files(spark, folder), xor_key(spark, folder))
 
 
 def blocks(spark: SparkSession, folder: str) -> DataFrame:
-    tx = _TX.replace(", inputs array", ",inputs array")
-    fields = ",".join(x.strip().replace(" ", ":", 1) for x in _split(tx))
-    schema = f"{WHERE}, {HEADER}, tx_count long, size long, weight long, total_fee long, coinbase_value long, transactions array<struct<{fields}>>"
-    return _scan(spark, folder, schema, codec.block)
+    return blocks_of(files(spark, folder), xor_key(spark, folder))
+
+
+def decoded(payloads: DataFrame) -> DataFrame:
+    """Blocks of (height, payload) rows, as from a node."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for height, payload in zip(*(c.to_pylist() for c in batch.columns)):
+                yield pa.RecordBatch.from_pylist([{"height": height} | codec.block(payload)], kinds)
+
+    from pyspark.sql.pandas.types import to_arrow_schema
+    from pyspark.sql.types import StructType
+
+    shape = StructType.fromDDL(f"height long, {_BLOCK}")
+    kinds = to_arrow_schema(shape)
+    return payloads.select("height", "payload").mapInArrow(run, shape)
+
+
+def as_frame(spark: SparkSession, rows: list[dict]) -> DataFrame:
+    """Blocks decoded on the driver (a tip follower's few) as a DataFrame."""
+    from pyspark.sql.pandas.types import to_arrow_schema
+    from pyspark.sql.types import StructType
+
+    shape = StructType.fromDDL(f"height long, {_BLOCK}")
+    return spark.createDataFrame(pa.Table.from_pylist(rows, to_arrow_schema(shape)), shape)
+
+
+def empty(spark: SparkSession) -> dict[str, DataFrame]:
+    """All entity and lookup tables without rows."""
+    found = linked(tables(as_frame(spark, [])))
+    return found | serving(found)
+
+
+def payloads(content: DataFrame, key: bytes | None, where: DataFrame) -> DataFrame:
+    """(file_id, offset, payload) of the records that ``where`` (file_id, offset, record_len) names; each file is opened once.
+
+    A place outside its file fails.
+    """
+    wanted = where.groupBy("file_id").agg(F.sort_array(F.collect_list(F.struct("offset", "record_len"))).alias("places"))  # as many as a file has records
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for file_id, content, places in zip(batch.column(0).to_pylist(), batch.column(1), batch.column(2).to_pylist()):
+                data = codec.unmask(content.as_buffer().to_pybytes(), key)
+                for x in places:
+                    begin, end = x["offset"] + 8, x["offset"] + 8 + x["record_len"]
+                    if end > len(data):
+                        raise codec.BadBlock(f"file {file_id}: {end} is beyond its {len(data)} bytes")
+                    yield pa.RecordBatch.from_pydict({"file_id": pa.array([file_id], pa.int32()), "offset": [x["offset"]], "payload": pa.array([data[begin:end]], pa.binary())})
+
+    return content.join(wanted, "file_id").select("file_id", "content", "places").mapInArrow(run, "file_id int, offset long, payload binary")
 
 
 def _split(text: str) -> list[str]:
@@ -74,12 +147,47 @@ def _split(text: str) -> list[str]:
     return out
 
 
+_BLOCK = f"{HEADER}, tx_count long, size long, weight long, total_fee long, coinbase_value long, transactions array<struct<{','.join(x.strip().replace(' ', ':', 1) for x in _split(_TX))}>>"
+
+
 def tables(decoded: DataFrame) -> dict[str, DataFrame]:
-    """blocks, transactions, inputs and outputs of decoded blocks that have a ``height`` column."""
+    """blocks, transactions, inputs and outputs of decoded blocks that have a ``height`` column; fees are 0 so far."""
     tx = decoded.select("height", F.inline("transactions"))
     return {
-        "blocks": decoded.drop("transactions", "file_id", "offset", "record_len"),
-        "transactions": tx.drop("inputs", "outputs"),
+        "blocks": decoded.select("height", *[x.split()[0] for x in HEADER.split(", ")], "tx_count", "size", "weight", "total_fee", "coinbase_value"),
+        "transactions": tx.select("height", "tx_index", "txid", "version", "locktime", "size", "weight", "fee", "input_count", "output_count", "has_witness"),
         "inputs": tx.select("height", "tx_index", "txid", F.inline("inputs")),
         "outputs": tx.select("height", "tx_index", "txid", F.inline("outputs")),
     }
+
+
+def linked(found: dict[str, DataFrame], older: DataFrame | None = None) -> dict[str, DataFrame]:
+    """The five entity tables: ``tables`` with the spends, and with fees in transactions and blocks.
+
+    older: unspent outputs (columns of ``outputs``) from before these blocks, for blocks that come later.
+    """
+    made = found["outputs"] if older is None else found["outputs"].unionByName(older.select(found["outputs"].columns))
+    outs = made.select("txid", F.col("output_index").alias("vout"), "height", "tx_index", "value_sat", F.struct("address_hash", "script_type").alias("address"))
+    ins = found["inputs"].withColumn("prev_txid", F.when(~F.col("is_coinbase"), F.col("prev_txid")))
+    links = spends.link_spends(ins, outs)
+    fees = spends.tx_fees(ins, outs if older is None else outs.join(found["blocks"].select("height"), "height", "left_semi"), links)
+    paid = fees.select("height", "tx_index", F.col("fee").alias("paid"))
+    total = spends.block_fees(fees).select("height", F.col("total_fee").alias("paid"))
+    own = found["transactions"].join(paid, ["height", "tx_index"], "left").withColumn("fee", F.coalesce("paid", "fee"))
+    whole = found["blocks"].join(total, "height", "left").withColumn("total_fee", F.coalesce("paid", "total_fee"))
+    return found | {
+        "blocks": whole.select(found["blocks"].columns), "transactions": own.select(found["transactions"].columns),
+        "spends": links.select(
+            "height", F.col("tx_index").alias("spending_tx_index"), F.col("input_index").alias("spending_input_index"), F.col("txid").alias("spending_txid"), "spent_txid", "spent_vout",
+            "spent_value_sat", F.col("spent_address.script_type").alias("spent_script_type"), F.col("spent_address.address_hash").alias("spent_address_hash"), "spent_height",
+        ),
+    }
+
+
+def serving(found: dict[str, DataFrame]) -> dict[str, DataFrame]:
+    """The tables for lookups by txid, by outpoint and by address."""
+    return {
+        "transactions_by_txid": found["transactions"].select("txid", "height", "tx_index"),
+        "inputs_by_prev_output": found["inputs"].filter(~F.col("is_coinbase")).select("prev_txid", "prev_vout", "height", "tx_index", "input_index", "txid"),
+        "outputs_by_address": found["outputs"].select("address_hash", "script_type", "height", "tx_index", "output_index", "txid", "value_sat"),
+    }

@@ -3,8 +3,9 @@
 from __future__ import annotations
 
 import tempfile
+import uuid
 
-from pyspark.sql import SparkSession
+from pyspark.sql import DataFrame, SparkSession
 
 
 def checkpoint_dir(spark: SparkSession) -> str:
@@ -18,3 +19,20 @@ def checkpoint_dir(spark: SparkSession) -> str:
     if context.getCheckpointDir() is None:
         context.setCheckpointDir(base)
     return context.getCheckpointDir()
+
+
+def written(df: DataFrame, name: str) -> DataFrame:
+    """``df`` computed once, as Parquet in the shared folder: cuts the lineage, and outlives lost executors."""
+    spark = df.sparkSession
+    path = f"{checkpoint_dir(spark).rstrip('/')}/{name}-{uuid.uuid4().hex}"
+    df.write.option("compression", "zstd").parquet(path)
+    return spark.read.schema(df.schema).parquet(path)
+
+
+def forget(df: DataFrame) -> None:
+    """Delete what :func:`written` wrote."""
+    spark = df.sparkSession
+    jvm = spark.sparkContext._jvm
+    for folder in {f.rsplit("/", 1)[0] for f in df.inputFiles()}:
+        path = jvm.org.apache.hadoop.fs.Path(folder)
+        path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(path, True)
