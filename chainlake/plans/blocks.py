@@ -92,7 +92,7 @@ SQL = f"""
 o AS (SELECT o_orderkey AS k, date_diff('day', TIMESTAMP '1995-01-01', o_orderdate)::BIGINT AS height, row_number() OVER (PARTITION BY o_orderdate ORDER BY o_orderkey) - 1 AS tx_index,
       (row_number() OVER own - 1) % 2 = 0 AS fresh, lag(o_orderkey) OVER own AS before FROM orders WINDOW own AS (PARTITION BY o_custkey ORDER BY o_orderdate, o_orderkey)),
 l0 AS (SELECT l_orderkey AS k, row_number() OVER (PARTITION BY l_orderkey ORDER BY {', '.join(LINE)}) - 1 AS i, round(l_extendedprice * 100)::BIGINT AS value, l_linenumber AS kind, sha256(l_suppkey::VARCHAR) AS seed FROM lineitem),
-l AS (SELECT *, ['76a914' || seed[:40] || '88ac', 'a914' || seed[:40] || '87', '0014' || seed[:40], '0020' || seed, '5120' || seed, '6a04deadbeef', 'ff'][kind] AS script, {_TYPES}[kind]::INT AS script_type,
+l AS (SELECT *, ['76a914' || seed[:40] || '88ac', 'a914' || seed[:40] || '87', '0014' || seed[:40], '0020' || seed, '5120' || seed, '6a04deadbeef', 'ff'][kind] AS script, {_TYPES}[kind]::BIGINT AS script_type,
       CASE WHEN kind <= 3 THEN seed[:40] || repeat('0', 24) WHEN kind <= 5 THEN seed ELSE repeat('0', 64) END AS address_hash FROM l0),
 og AS (SELECT k, count(*) AS n, string_agg({_le_sql('value', 8)} || {_le_sql('length(script) // 2', 1)} || script, '' ORDER BY i) AS outs FROM l GROUP BY 1),
 t0 AS (SELECT o.*, coalesce(n, 0) AS n, coalesce(outs, '') AS outs FROM o LEFT JOIN og USING (k)),
@@ -109,7 +109,7 @@ b0 AS (SELECT height, count(*) AS tx_count, sum(weight) AS weights, string_agg(w
 b AS (SELECT *, '01000000' || sha256((height - 1)::VARCHAR) || sha256('m' || height) || {_le_sql('1000000000 + 600 * height', 4)} || 'ffff001d' || {_le_sql('height', 4)} AS head,
       80 + CASE WHEN tx_count < 253 THEN 1 ELSE 3 END + length(txs) // 2 AS size FROM b0),
 outs AS (SELECT height, tx_index, i AS output_index, txid, value AS value_sat, length(script) // 2 AS script_pubkey_len, script_type, address_hash FROM l JOIN tx USING (k)),
-ins AS (SELECT height, tx_index, i AS input_index, txid, CASE WHEN fresh THEN '{ZEROS}' ELSE spent END AS prev_txid, CASE WHEN fresh THEN 4294967295 ELSE i END AS prev_vout, CASE WHEN fresh THEN 4 ELSE 0 END AS script_sig_len,
+ins AS (SELECT height, tx_index, i AS input_index, txid, CASE WHEN fresh THEN '{ZEROS}' ELSE spent END AS prev_txid, CASE WHEN fresh THEN 4294967295 ELSE i END AS prev_vout, CASE WHEN fresh THEN 4 ELSE 0 END::BIGINT AS script_sig_len,
         4294967295 AS sequence, CASE WHEN segwit THEN 1 + i % 2 ELSE 0 END AS witness_items, CASE WHEN segwit THEN 1 + 2 * (i % 2) ELSE 0 END AS witness_bytes, fresh AS is_coinbase FROM tx, range(n_in) r(i)),
 spends AS (SELECT i.height, i.tx_index AS spending_tx_index, input_index AS spending_input_index, i.txid AS spending_txid, o.txid AS spent_txid, output_index AS spent_vout, value_sat AS spent_value_sat,
            script_type AS spent_script_type, address_hash AS spent_address_hash, o.height AS spent_height FROM ins i JOIN outs o ON prev_txid = o.txid AND prev_vout = output_index WHERE NOT is_coinbase AND o.height <= i.height),
@@ -123,17 +123,17 @@ def _shown(df: DataFrame) -> DataFrame:
     return df.select(*[F.lower(F.hex(c)).alias(c) if kind == "binary" else F.col(c).cast("long").alias(c) if kind in ("int", "bigint") else F.col(c) for c, kind in df.dtypes])
 
 
-@query("SELECT (height // 400)::BIGINT AS file_id, (sum(8 + size) OVER (PARTITION BY height // 400 ORDER BY height) - 8 - size)::BIGINT AS offset, size AS record_len, sha256(unhex(sha256(unhex(head)))) AS hash, head[9:72] AS prev_hash, head[73:136] AS merkle_root, 1 AS version, 1000000000 + 600 * height AS time, 486604799 AS bits, height AS nonce FROM b", SQL)
+@query("SELECT (height // 400)::BIGINT AS file_id, (sum(8 + size) OVER (PARTITION BY height // 400 ORDER BY height) - 8 - size)::BIGINT AS offset, size AS record_len, sha256(unhex(sha256(unhex(head)))) AS hash, head[9:72] AS prev_hash, head[73:136] AS merkle_root, 1::BIGINT AS version, 1000000000 + 600 * height AS time, 486604799::BIGINT AS bits, height AS nonce FROM b", SQL)
 def blk_headers(s, d):
     return _shown(blk.headers_of(_files(s, d), KEY))
 
 
-@query("SELECT height, sha256(unhex(sha256(unhex(head)))) AS hash, head[9:72] AS prev_hash, head[73:136] AS merkle_root, 1 AS version, 1000000000 + 600 * height AS time, 486604799 AS bits, height AS nonce, tx_count, size, (weights + 320)::BIGINT AS weight, (SELECT sum(fee) FROM fees WHERE fees.height = b.height)::BIGINT AS total_fee, (SELECT coalesce(sum(value_sat), 0) FROM outs WHERE outs.height = b.height AND tx_index = 0)::BIGINT AS coinbase_value FROM b", SQL)
+@query("SELECT height, sha256(unhex(sha256(unhex(head)))) AS hash, head[9:72] AS prev_hash, head[73:136] AS merkle_root, 1::BIGINT AS version, 1000000000 + 600 * height AS time, 486604799::BIGINT AS bits, height AS nonce, tx_count, size, (weights + 320)::BIGINT AS weight, (SELECT sum(fee) FROM fees WHERE fees.height = b.height)::BIGINT AS total_fee, (SELECT coalesce(sum(value_sat), 0) FROM outs WHERE outs.height = b.height AND tx_index = 0)::BIGINT AS coinbase_value FROM b", SQL)
 def blk_blocks(s, d):
     return _shown(blk.linked(_tables(s, d))["blocks"])
 
 
-@query("SELECT height, tx_index, txid, 2 AS version, height AS locktime, size, weight, fee, n_in AS input_count, n AS output_count, segwit AS has_witness FROM tx JOIN fees USING (height, tx_index)", SQL)
+@query("SELECT height, tx_index, txid, 2::BIGINT AS version, height AS locktime, size, weight, fee, n_in AS input_count, n AS output_count, segwit AS has_witness FROM tx JOIN fees USING (height, tx_index)", SQL)
 def blk_transactions(s, d):
     return _shown(blk.linked(_tables(s, d))["transactions"])
 
