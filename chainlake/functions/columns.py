@@ -34,6 +34,41 @@ def le_uint(data: Column) -> Column:
     return F.conv(reversed_hex(F.hex(data)), 16, 10).cast("long")
 
 
+def le_int(data: Column, width: int) -> Column:
+    """``width`` bytes, eight at most, as a signed little-endian integer."""
+    high = F.conv(reversed_hex(F.hex(data)), 16, 10).cast("decimal(20,0)")
+    top = F.lit(str(1 << 8 * width)).cast("decimal(20,0)")
+    return F.when(high >= F.lit(str(1 << 8 * width - 1)).cast("decimal(20,0)"), high - top).otherwise(high).cast("long")
+
+
+def varint_value(data: Column) -> Column:
+    """The number at the front of the bytes; null if they end too soon or it has more than 63 bits. Longer forms than needed are accepted."""
+    lead = F.conv(F.hex(F.substring(data, 1, 1)), 16, 10).cast("int")
+
+    def tail(width: int) -> Column:
+        part = F.substring(data, 2, width)
+        return F.when(F.octet_length(part) == width, le_int(part, width))
+
+    wide = tail(8)
+    return F.when(F.octet_length(data) == 0, F.lit(None)).when(lead < 0xFD, lead.cast("long")).when(lead == 0xFD, le_uint(F.substring(data, 2, 2)) + 0 * tail(2)).when(lead == 0xFE, le_uint(F.substring(data, 2, 4)) + 0 * tail(4)).when(wide >= 0, wide)
+
+
+def json_of(*columns: str) -> Column:
+    """The columns as a JSON object, hashes (binary of 32 bytes) as people write them."""
+    return F.to_json(F.struct(*[display_hex(F.col(c)).alias(c) for c in columns]))
+
+
+def gib(size: Column) -> Column:
+    """Bytes as text in GiB with two digits."""
+    return F.format_string("%.2f GiB", size / F.lit(float(1 << 30)))
+
+
+def network_of(magic: Column) -> Column:
+    """The network that a little-endian magic names, else null."""
+    names = F.create_map(*[x for code, name in MAGICS.items() for x in (F.lit(code).cast("long"), F.lit(name))])
+    return F.try_element_at(names, magic.cast("long"))
+
+
 def varint_length(value: Column) -> Column:
     """Bytes of the canonical variable-length encoding."""
     return F.when(value < 0xFD, 1).when(value <= 0xFFFF, 3).when(value <= 0xFFFFFFFF, 5).otherwise(9)

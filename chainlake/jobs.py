@@ -11,7 +11,7 @@ from pyspark.sql import functions as F
 
 from .functions import columns as C
 from .operators import chain, spends
-from .sources import blk, sinks
+from .sources import blk, process, sinks
 from .sources.shared import written
 
 MODES = ("headers", "parse", "drain", "utxo", "sink", "full")
@@ -79,6 +79,7 @@ def bench(spark: SparkSession, folder: str, mode: str = "full", repeat: int = 1,
     noop = lambda df: df.write.format("noop").mode("overwrite").save()
     trials = []
     for _ in range(repeat):
+        before = process.sample()
         stages: dict[str, float] = {}
 
         def timed(name: str, run):
@@ -104,10 +105,24 @@ def bench(spark: SparkSession, folder: str, mode: str = "full", repeat: int = 1,
             if mode in ("sink", "full"):
                 timed("sink", lambda: [sinks.write(df, out, name) if out else noop(df) for name, df in tables.items()])
         total = sum(stages.values())
-        trials.append({"mode": mode, "blocks": n, "stages": stages, "seconds": round(total, 4), "blocks_per_second": round(n / total, 2) if total else None})
+        trials.append({"mode": mode, "blocks": n, "stages": stages, "seconds": round(total, 4), "blocks_per_second": round(n / total, 2) if total else None, "driver_cpu_share": process.cpu_share(before, process.sample()), "driver_peak_rss_kb": process.sample()["peak_rss_kb"]})
     return trials
 
 
+def matrix(spark: SparkSession, folder: str, shuffles: tuple[int, ...] = (8, 64, 256), repeat: int = 1) -> list[dict]:
+    """Every mode with the session's partitions, and the full run at several numbers of shuffle partitions."""
+    key = "spark.sql.shuffle.partitions"
+    before = spark.conf.get(key)
+    found = [t | {"partitions": int(before)} for mode in MODES for t in bench(spark, folder, mode, repeat, allow_missing=True)]
+    try:
+        for n in shuffles:
+            spark.conf.set(key, n)
+            found += [t | {"partitions": n} for t in bench(spark, folder, "full", repeat, allow_missing=True)]
+    finally:
+        spark.conf.set(key, before)
+    return found
+
+
 def report(trials: list[dict]) -> str:
     """JSON of the trials, with the least, the median and the largest seconds of each stage."""
     stages = {k: [t["stages"][k] for t in trials if k in t["stages"]] for t in trials for k in t["stages"]}

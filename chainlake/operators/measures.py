@@ -54,6 +54,16 @@ def latency(rows: DataFrame, value: str) -> dict:
     return {k: row[k] if row else 0 for k in ("n", "p50", "p99", "largest", "total")}
 
 
+def trials(rows: DataFrame, stage: str, seconds: str) -> DataFrame:
+    """The least, the median (of an even number: the mean of the middle two) and the largest of each stage's trials."""
+    return rows.groupBy(F.col(stage).alias("stage")).agg(F.min(seconds).alias("low"), F.median(seconds).alias("mid"), F.max(seconds).alias("high"))
+
+
+def stalls(lines: DataFrame, text: str) -> DataFrame:
+    """The lines of a report that speak of stalls."""
+    return lines.filter(F.lower(F.col(text)).contains("stall"))
+
+
 def ratio(part: Column, whole: Column) -> Column:
     """part / whole, null where there is no whole."""
     return F.try_divide(part.cast("double"), whole.cast("double"))

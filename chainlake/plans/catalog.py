@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from ..functions import columns as C
-from ..operators import chain, measures, ordered, spends
+from ..operators import chain, guard, measures, ordered, spends
 from . import blocks, register  # blocks registers its queries
 from .adapter import SQL, ins, outs, table, txs
 from .register import ORACLE_SQL, QUERIES
@@ -300,6 +300,56 @@ def varint_lengths(s, d):
     return table(s, d, "documents").select("doc_id", C.varint_length(n).alias("width"), C.varint_hex(n).alias("encoded"))
 
 
+@query("SELECT doc_id, n_chars AS value FROM documents", views=False)
+def varint_round_trip(s, d):
+    return table(s, d, "documents").select("doc_id", C.varint_value(F.unhex(C.varint_hex(F.col("n_chars")))).alias("value"))
+
+
+@query("""WITH b AS (SELECT doc_id, sha256(coalesce(text, '')) AS h FROM documents),
+n AS (SELECT doc_id, ('0x' || array_to_string(list_reverse(regexp_extract_all(h[:8], '..')), ''))::BIGINT AS four, ('0x' || array_to_string(list_reverse(regexp_extract_all(h[9:24], '..')), ''))::HUGEINT AS eight FROM b)
+SELECT doc_id, CASE WHEN four >= 2147483648 THEN four - 4294967296 ELSE four END AS four, CASE WHEN eight >= 9223372036854775808::HUGEINT THEN eight - 18446744073709551616::HUGEINT ELSE eight END::BIGINT AS eight FROM n""", views=False)
+def signed_decode(s, d):
+    h = F.unhex(F.sha2(F.coalesce("text", F.lit("")), 256))
+    return table(s, d, "documents").select("doc_id", C.le_int(F.substring(h, 1, 4), 4).alias("four"), C.le_int(F.substring(h, 5, 8), 8).alias("eight"))
+
+
+@query("""SELECT doc_id, '{"own":"' || array_to_string(list_reverse(regexp_extract_all(sha256(text), '..')), '') || '","lang":"' || array_to_string(list_reverse(regexp_extract_all(sha256(lang), '..')), '') || '"}' AS shown FROM documents""", views=False)
+def hashes_as_json(s, d):
+    hashed = table(s, d, "documents").select("doc_id", F.unhex(F.sha2("text", 256)).alias("own"), F.unhex(F.sha2("lang", 256)).alias("lang"))
+    return hashed.select("doc_id", C.json_of("own", "lang").alias("shown"))
+
+
+@query("SELECT event_id, CASE event_id % 6 WHEN 0 THEN 'mainnet' WHEN 1 THEN 'testnet3' WHEN 2 THEN 'signet' WHEN 3 THEN 'testnet4' WHEN 4 THEN 'regtest' END AS network FROM events", views=False)
+def network_names(s, d):
+    magics = F.array(*[F.lit(x).cast("long") for x in (*C.MAGICS, 1)])
+    return table(s, d, "events").select("event_id", C.network_of(F.element_at(magics, (F.col("event_id") % 6 + 1).cast("int"))).alias("network"))
+
+
+@query("SELECT o_orderkey, printf('%.2f GiB', o_orderkey * 123456789.0::DOUBLE / 1073741824.0::DOUBLE) AS shown FROM orders", views=False)
+def sizes_in_gib(s, d):
+    return table(s, d, "orders").select("o_orderkey", C.gib(F.col("o_orderkey") * F.lit(123456789.0)).alias("shown"))
+
+
+@query("SELECT event_id, 'x ' || event_type || CASE WHEN event_id % 11 = 0 THEN ' Stalled' ELSE '' END AS line FROM events WHERE event_id % 11 = 0", views=False)
+def stall_lines(s, d):
+    line = F.concat(F.lit("x "), "event_type", F.when(F.col("event_id") % 11 == 0, " Stalled").otherwise(""))
+    return measures.stalls(table(s, d, "events").select("event_id", line.alias("line")), "line")
+
+
+@query("""WITH h AS (SELECT event_id AS "at", event_id * 7 % 1000 AS height FROM events), m AS (SELECT *, max(height) OVER (ORDER BY "at" ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING) AS top FROM h WHERE height % 20 = 0 AND height > 0)
+SELECT "at", height FROM m WHERE top IS NULL OR height > top""", views=False)
+def recorder_points(s, d):
+    return guard.due(table(s, d, "events").select(F.col("event_id").alias("at"), (F.col("event_id") * 7 % 1000).alias("height")), 20)
+
+
+@query(_POINTS + """, r AS (SELECT n, CAST(floor(greatest(intercept + slope * 3000, 0)) AS BIGINT) AS projected FROM l)
+SELECT projected, greatest(projected - 1000, 0) AS additional, greatest(50000000000 - greatest(projected - 1000, 0), 0) AS free_at_end, greatest(CAST(ceil((greatest(projected - 1000, 0) + 10737418240 - 50000000000) / 1073741824.0) AS BIGINT), 0) AS missing_gib FROM r""")
+def space_preflight(s, d):
+    """One row: what the projected growth leaves of 50 GB that are free."""
+    found = guard.preflight(_points(s, d), 3000, 1000, 50_000_000_000)
+    return s.createDataFrame([(found.projected, found.additional, found.free_at_end, found.missing_gib)], "projected long, additional long, free_at_end long, missing_gib long")
+
+
 @query("SELECT l_linenumber AS code, CASE l_linenumber WHEN 0 THEN 'unknown' WHEN 1 THEN 'p2pk' WHEN 2 THEN 'p2pkh' WHEN 3 THEN 'p2sh' WHEN 4 THEN 'p2wpkh' WHEN 5 THEN 'p2wsh' WHEN 6 THEN 'p2tr' WHEN 7 THEN 'multisig' WHEN 8 THEN 'op_return' WHEN 9 THEN 'witness_unknown' ELSE 'unknown' END AS name, count(*) AS n FROM lineitem GROUP BY 1, 2", views=False)
 def script_type_names(s, d):
     return table(s, d, "lineitem").groupBy(F.col("l_linenumber").alias("code"), C.script_type_name(F.col("l_linenumber")).alias("name")).agg(F.count(F.lit(1)).alias("n"))
@@ -331,7 +381,7 @@ def latency_percentiles(s, d):
 
 @query("SELECT event_type AS stage, round(min(value), 6) AS low, round(median(value), 6) AS mid, round(max(value), 6) AS high FROM events GROUP BY 1", views=False)
 def stage_medians(s, d):
-    return table(s, d, "events").groupBy(F.col("event_type").alias("stage")).agg(F.round(F.min("value"), 6).alias("low"), F.round(F.median("value"), 6).alias("mid"), F.round(F.max("value"), 6).alias("high"))
+    return measures.trials(table(s, d, "events"), "event_type", "value").select("stage", *[F.round(c, 6).alias(c) for c in ("low", "mid", "high")])
 
 
 @query("SELECT event_type, round(count(*) / nullif(sum(value), 0), 6) AS per_unit, round(100.0 * count(*) / (SELECT count(*) FROM events), 6) AS share FROM events GROUP BY 1", views=False)

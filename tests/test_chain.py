@@ -151,3 +151,18 @@ def test_rooted_goes_on_until_no_row_moves(spark, tmp_path):
         assert sorted(map(tuple, got)) == [(i, i, 2 * i + 2) for i in range(n)]
     with pytest.raises(ValueError):
         chain.rooted(spark.createDataFrame([(0, None, 1), (1, 3, 1), (2, 1, 1), (3, 2, 1)], schema))
+
+
+def test_columns_over_arrow_and_wide_numbers(spark):
+    from chainlake.functions import arrow
+    from chainlake.sources import process
+
+    scripts = ["76a914" + "ab" * 20 + "88ac", "0014" + "11" * 20, ""]
+    rows = spark.createDataFrame([(bytearray.fromhex(x),) for x in scripts] + [(None,)], "s binary").select(arrow.hash160(F.col("s")).alias("h"), arrow.script_kind(F.col("s")).alias("k")).collect()
+    assert [r.h and bytes(r.h) for r in rows] == [*(codec.hash160(bytes.fromhex(x)) for x in scripts), None]
+    assert [(r.k.script_type, r.k.address_hash and bytes(r.k.address_hash)) for r in rows[:3]] == [codec.classify(bytes.fromhex(x)) for x in scripts]
+    numbers = {"00": 0, "fc": 252, "fdfd00": 253, "fdffff": 65535, "fe00000100": 65536, "ff" + "00" * 7 + "01": 1 << 56, "fd01": None, "": None, "ff" + "ff" * 8: None}
+    got = spark.createDataFrame([(bytearray.fromhex(x),) for x in numbers], "b binary").select(C.varint_value(F.col("b")).alias("n")).collect()
+    assert [r.n for r in got] == list(numbers.values())
+    a, b = process.sample(), process.sample()
+    assert a["peak_rss_kb"] > 0 and b["cpu_s"] >= a["cpu_s"] and (process.cpu_share(a, b) is None or process.cpu_share(a, b) >= 0)
