@@ -60,11 +60,13 @@ def index(spark: SparkSession, folder: str, out: str, start: int = 0, end: int |
 def inspect(spark: SparkSession, folder: str, height: int) -> str:
     """One block of the main chain as text: its header, its counts, its first three transactions."""
     main = header_index(spark, folder)[2]
-    row = decode(spark, folder, main, height, height + 1).first()
+    found = decode(spark, folder, main, height, height + 1)
+    row = found.filter("tx_count is not null").first()
     if row is None:
         raise chain.EmptyRange(str(height))
+    first = found.select(F.inline("transactions")).filter("tx_index < 3").orderBy("tx_index").collect()
     lines = [f"height {height} hash {bytes(row['hash'])[::-1].hex()}", f"prev {bytes(row['prev_hash'])[::-1].hex()} time {row['time']} bits {row['bits']:08x} nonce {row['nonce']}", f"transactions {row['tx_count']} size {row['size']} weight {row['weight']} coinbase {row['coinbase_value']}"]
-    lines += [f"  {bytes(t['txid'])[::-1].hex()} inputs {t['input_count']} outputs {t['output_count']} size {t['size']}" for t in row["transactions"][:3]]
+    lines += [f"  {bytes(t['txid'])[::-1].hex()} inputs {t['input_count']} outputs {t['output_count']} size {t['size']}" for t in first]
     return "\n".join(lines)
 
 

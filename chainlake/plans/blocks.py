@@ -37,7 +37,7 @@ def _dsha(text: Column) -> Column:
 
 
 def _payloads(s: SparkSession, d: str) -> DataFrame:
-    """(height, payload): the blocks' bytes."""
+    """(height, payload): the blocks' bytes. The orders with their outputs are written on the way."""
     own, day = Window.partitionBy("o_custkey").orderBy("o_orderdate", "o_orderkey"), Window.partitionBy("o_orderdate").orderBy("o_orderkey")
     orders = table(s, d, "orders").select(
         F.col("o_orderkey").alias("k"), F.datediff("o_orderdate", F.lit("1995-01-01")).cast("long").alias("height"), (F.row_number().over(day) - 1).alias("tx_index"),
@@ -49,7 +49,8 @@ def _payloads(s: SparkSession, d: str) -> DataFrame:
     lines = table(s, d, "lineitem").select(F.col("l_orderkey").alias("k"), (F.row_number().over(Window.partitionBy("l_orderkey").orderBy(*LINE)) - 1).alias("i"), F.round(F.col("l_extendedprice") * 100).cast("long").alias("value"), script.alias("script"))
     coin = F.concat(_le(F.col("value"), 8), _le(F.length("script") / 2, 1), "script")
     outs = lines.groupBy("k").agg(F.count(F.lit(1)).alias("n"), _joined("i", coin).alias("outs"))
-    orders = orders.join(outs, "k", "left").fillna({"n": 0, "outs": ""})
+    orders = shared.written(orders.join(outs, "k", "left").select(*orders.columns, F.coalesce("n", F.lit(0)).alias("n"), F.unhex(F.coalesce("outs", F.lit(""))).alias("outs")), "orders")
+    orders = orders.withColumn("outs", F.hex("outs"))
     tail = F.concat(_le(F.col("n"), 1), "outs", _le(F.col("height"), 4))
     fresh = orders.filter("fresh").withColumn("plain", F.concat(F.lit(f"0200000001{ZEROS}ffffffff04"), _le(F.col("k"), 4), F.lit("ffffffff"), tail))
     known = fresh.select(F.col("k").alias("before"), _dsha(F.col("plain")).alias("txid"))
@@ -58,27 +59,52 @@ def _payloads(s: SparkSession, d: str) -> DataFrame:
     witness = F.concat_ws("", F.transform("ins", lambda i: F.when(i % 2 == 0, F.lit("0101aa")).otherwise(F.lit("0201aa02aaaa"))))
     segwit = F.col("k") % 3 == 0
     late = late.withColumn("plain", F.concat(F.lit("02000000"), F.when(segwit, F.lit("0001")).otherwise(F.lit("")), body, F.when(segwit, witness).otherwise(F.lit("")), _le(F.col("height"), 4)))
-    whole = fresh.select("height", "tx_index", "plain").union(late.select("height", "tx_index", "plain"))
-    blocks = whole.groupBy("height").agg(F.count(F.lit(1)).alias("n"), _joined("tx_index", F.col("plain")).alias("txs"))
+    whole = fresh.select("height", "tx_index", F.unhex("plain").alias("plain")).union(late.select("height", "tx_index", F.unhex("plain")))
+
+    def join(batches):
+        """One block at a time of rows in the order of height and tx_index."""
+        at, txs = None, []
+        for batch in batches:
+            for height, plain in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist()):
+                if txs and height != at:
+                    yield one(at, txs)
+                    txs = []
+                at = height
+                txs.append(plain)
+        if txs:
+            yield one(at, txs)
+
+    def one(height, txs):
+        return pa.RecordBatch.from_pydict({"height": pa.array([height], pa.int64()), "n": pa.array([len(txs)], pa.int64()), "txs": pa.array([b"".join(txs)], pa.binary())})
+
+    blocks = whole.repartition("height").sortWithinPartitions("height", "tx_index").select("height", "plain").mapInArrow(join, "height long, n long, txs binary")
     head = F.concat(F.lit("01000000"), F.sha2((F.col("height") - 1).cast("string"), 256), F.sha2(F.concat(F.lit("m"), F.col("height").cast("string")), 256), _le(1_000_000_000 + 600 * F.col("height"), 4), F.lit("ffff001d"), _le(F.col("height"), 4))
-    return blocks.select("height", F.unhex(F.concat(head, F.lower(C.varint_hex(F.col("n"))), "txs")).alias("payload"))
+    return blocks.select("height", F.concat(F.unhex(F.concat(head, F.lower(C.varint_hex(F.col("n"))))), "txs").alias("payload"))
 
 
 def _files(s: SparkSession, d: str) -> DataFrame:
-    """(file_id, content): masked files with zero padding at the end."""
-    record = F.concat(F.lit("f9beb4d9"), _le(F.octet_length("payload"), 4), F.hex("payload"))
-    plain = _payloads(s, d).groupBy(F.floor(F.col("height") / FILE_BLOCKS).cast("int").alias("file_id")).agg(F.unhex(F.concat(_joined("height", record), F.lit("00" * 64))).alias("content"))
+    """(file_id, start, content): masked files with zero padding at the end, a piece for each block, so no row holds a file."""
+    raw = _payloads(s, d)
+    blocks = shared.written(raw.withColumn("size", F.octet_length("payload")), "payloads", shared.LARGE)
+    shared.forget(raw)
+    file = Window.partitionBy("file_id").orderBy("height")
+    own = blocks.select("height", "size", F.floor(F.col("height") / FILE_BLOCKS).cast("int").alias("file_id"))
+    places = own.select("height", "file_id", (F.sum(F.col("size") + 8).over(file) - F.col("size") - 8).alias("start"), F.lead("height").over(file).isNull().alias("last"))
+    record = F.concat(F.unhex(F.lit("f9beb4d9")), F.unhex(_le(F.col("size"), 4)), "payload", F.when(F.col("last"), F.unhex(F.lit("00" * 64))).otherwise(F.unhex(F.lit(""))))
+    plain = blocks.join(F.broadcast(places), "height").select("file_id", "start", record.alias("content"))  # one row a day on the right
 
     def mask(batches):
         for batch in batches:
-            for i, content in zip(*(c.to_pylist() for c in batch.columns)):
-                yield pa.RecordBatch.from_pydict({"file_id": pa.array([i], pa.int32()), "content": pa.array([codec.unmask(content, KEY)], pa.binary())})
+            for i, start, content in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), batch.column(2)):
+                yield pa.RecordBatch.from_pydict({"file_id": pa.array([i], pa.int32()), "start": pa.array([start], pa.int64()), "content": pa.array([codec.unmask(content.as_buffer().to_pybytes(), KEY, start)], pa.binary())})
 
-    return plain.mapInArrow(mask, "file_id int, content binary")
+    return plain.mapInArrow(mask, "file_id int, start long, content binary")
 
 
 def _tables(s: SparkSession, d: str) -> dict[str, DataFrame]:
-    blocks = shared.written(blk.blocks_of(_files(s, d), KEY).withColumn("height", F.col("nonce")), "decoded")
+    content = _files(s, d)
+    blocks = shared.written(blk.blocks_of(content, KEY).withColumn("height", F.col("nonce")), "decoded", shared.LARGE)
+    shared.forget(content)
     return blk.tables(blocks)
 
 
@@ -157,7 +183,7 @@ def blk_spends(s, d):
 def blk_payloads(s, d):
     """Records read by their place: the blocks with an even number of transactions, whose payloads the first pass did not keep."""
     content = _files(s, d)
-    where = blk.blocks_of(content, KEY).filter("tx_count % 2 = 0").select("file_id", "offset", "record_len", F.col("nonce").alias("height"))
+    where = shared.written(blk.blocks_of(content, KEY).filter("tx_count % 2 = 0").select("file_id", "offset", "record_len", F.col("nonce").alias("height")), "places")
     found = blk.payloads(content, KEY, where)
     return found.join(where, ["file_id", "offset"]).select("height", F.sha2("payload", 256).alias("sha"))
 
@@ -257,7 +283,9 @@ def orphan_filter(s, d):
 def live_reorganised(s, d):
     """The tip follower over a store of tables: the node first serves other blocks above height 2000, then the real ones."""
     store = live.TableStore(s, _root(s))
-    real = shared.written(_payloads(s, d), "payloads")
+    raw = _payloads(s, d)
+    real = shared.written(raw, "payloads", shared.LARGE)
+    shared.forget(raw)
     # the other branch: the same blocks with another nonce, so other hashes
     other = real.withColumn("payload", F.when(F.col("height") > 2000, F.concat(F.substring("payload", 1, 79), F.unhex(F.lit("7f")), F.expr("substring(payload, 81)"))).otherwise(F.col("payload")))
     for branch in (other, real):

@@ -1,11 +1,15 @@
-"""Block files (blk00000.dat ...) as DataFrames: one row per block, nested; then five flat tables and three for lookups."""
+"""Block files (blk00000.dat ...) as DataFrames: nested rows of some transactions of a block each; then five flat tables and three for lookups.
+
+The content of files is (file_id, content), whole files, or (file_id, start, content): pieces
+of whole records, or of padding, from place ``start`` on. No file need fit in memory then.
+"""
 
 from __future__ import annotations
 
 from collections.abc import Iterator
 
 import pyarrow as pa
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from ..operators import spends
@@ -16,6 +20,8 @@ _OUT = "output_index long, value_sat long, script_pubkey_len long, script_type i
 _TX = f"txid binary, version int, locktime long, size long, weight long, fee long, input_count long, output_count long, has_witness boolean, inputs array<struct<{_IN.replace(' ', ':').replace(',:', ',')}>>, outputs array<struct<{_OUT.replace(' ', ':').replace(',:', ',')}>>, tx_index long"
 HEADER = "hash binary, prev_hash binary, merkle_root binary, version int, time long, bits long, nonce long"
 WHERE = "file_id int, offset long, record_len long"
+#: Most transactions of a row, and about as many rows, inputs and outputs of a batch.
+PART, BATCH = 16, 10_000
 
 
 class NoFiles(FileNotFoundError):
@@ -36,45 +42,60 @@ def xor_key(spark: SparkSession, folder: str) -> bytes | None:
 
 
 def network(content: DataFrame, key: bytes | None) -> str | None:
-    """The network of the first file (file_id, content)."""
-    head = content.orderBy("file_id").select(F.substring("content", 1, 8)).head(1)
+    """The network of the first file."""
+    head = _placed(content).orderBy("file_id", "start").select(F.substring("content", 1, 8)).head(1)
     return codec.network_of(bytes(head[0][0]), key) if head else None
 
 
+def _placed(content: DataFrame) -> DataFrame:
+    start = "start" if "start" in content.columns else F.lit(0).cast("long").alias("start")
+    return content.select("file_id", start, "content")
+
+
+def _batched(rows: Iterator[dict], kinds: pa.Schema) -> Iterator[pa.RecordBatch]:
+    """Rows in batches that end after a row if they hold BATCH rows, inputs and outputs or more."""
+    found, n = [], 0
+    for row in rows:
+        found.append(row)
+        n += 1 + sum(t["input_count"] + t["output_count"] for t in row.get("transactions", ()))
+        if n >= BATCH:
+            yield pa.RecordBatch.from_pylist(found, kinds)
+            found, n = [], 0
+    if found:
+        yield pa.RecordBatch.from_pylist(found, kinds)
+
+
 def _scan(content: DataFrame, key: bytes | None, schema: str, decode) -> DataFrame:
-    """``decode(payload)`` of each record of (file_id, content), with its place; a bad one fails with file and offset."""
+    """The rows ``decode(payload)`` of each record of the content, with its place; a bad one fails with file and offset."""
 
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    def rows(batches: Iterator[pa.RecordBatch]) -> Iterator[dict]:
         for batch in batches:
-            for file_id, content in zip(batch.column(0).to_pylist(), batch.column(1)):
-                rows = []
-                data, offset = codec.unmask(content.as_buffer().to_pybytes(), key), 0
+            for file_id, start, content in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), batch.column(2)):
+                data, offset = codec.unmask(content.as_buffer().to_pybytes(), key, start), 0
                 try:
                     for offset, payload in codec.records(data):
-                        rows.append({"file_id": file_id, "offset": offset, "record_len": len(payload)} | decode(payload))
-                        if len(rows) == 200:
-                            yield pa.RecordBatch.from_pylist(rows, kinds)
-                            rows = []
+                        place = {"file_id": file_id, "offset": start + offset, "record_len": len(payload)}
+                        for row in decode(payload):
+                            yield place | row
                 except codec.BadBlock as e:
-                    raise codec.BadBlock(f"file {file_id}, record at {offset}: {e}") from e
-                if rows:
-                    yield pa.RecordBatch.from_pylist(rows, kinds)
+                    raise codec.BadBlock(f"file {file_id}, record at {start + offset}: {e}") from e
 
     from pyspark.sql.pandas.types import to_arrow_schema
     from pyspark.sql.types import StructType
 
     shape = StructType.fromDDL(schema)
     kinds = to_arrow_schema(shape)
-    return content.mapInArrow(run, shape)
+    return _placed(content).mapInArrow(lambda batches: _batched(rows(batches), kinds), shape)
 
 
 def headers_of(content: DataFrame, key: bytes | None = None) -> DataFrame:
     """The header pass: 80 bytes a record are decoded, payloads never leave the reader."""
-    return _scan(content, key, f"{WHERE}, {HEADER}", codec.header)
+    return _scan(content, key, f"{WHERE}, {HEADER}", lambda payload: [codec.header(payload)])
 
 
 def blocks_of(content: DataFrame, key: bytes | None = None) -> DataFrame:
-    return _scan(content, key, f"{WHERE}, {_BLOCK}", codec.block)
+    """Blocks in parts of at most PART transactions; the last part of each has the block's sums (tx_count and so on), which are null in the others."""
+    return _scan(content, key, f"{WHERE}, {_BLOCK}", lambda payload: codec.parts(payload, PART))
 
 
 def headers(spark: SparkSession, folder: str) -> DataFrame:
@@ -86,19 +107,20 @@ def blocks(spark: SparkSession, folder: str) -> DataFrame:
 
 
 def decoded(payloads: DataFrame) -> DataFrame:
-    """Blocks of (height, payload) rows, as from a node."""
+    """Blocks of (height, payload) rows, as from a node, in parts as from :func:`blocks_of`."""
 
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    def rows(batches: Iterator[pa.RecordBatch]) -> Iterator[dict]:
         for batch in batches:
-            for height, payload in zip(*(c.to_pylist() for c in batch.columns)):
-                yield pa.RecordBatch.from_pylist([{"height": height} | codec.block(payload)], kinds)
+            for height, payload in zip(batch.column(0).to_pylist(), batch.column(1)):
+                for row in codec.parts(payload.as_buffer().to_pybytes(), PART):
+                    yield {"height": height} | row
 
     from pyspark.sql.pandas.types import to_arrow_schema
     from pyspark.sql.types import StructType
 
     shape = StructType.fromDDL(f"height long, {_BLOCK}")
     kinds = to_arrow_schema(shape)
-    return payloads.select("height", "payload").mapInArrow(run, shape)
+    return payloads.select("height", "payload").mapInArrow(lambda batches: _batched(rows(batches), kinds), shape)
 
 
 def as_frame(spark: SparkSession, rows: list[dict]) -> DataFrame:
@@ -117,23 +139,31 @@ def empty(spark: SparkSession) -> dict[str, DataFrame]:
 
 
 def payloads(content: DataFrame, key: bytes | None, where: DataFrame) -> DataFrame:
-    """(file_id, offset, payload) of the records that ``where`` (file_id, offset, record_len) names; each file is opened once.
+    """(file_id, offset, payload) of the records that ``where`` (file_id, offset, record_len) names; each file or piece is opened once.
 
-    A place outside its file fails.
+    A place outside its file, or over the end of a piece, fails.
     """
-    wanted = where.groupBy("file_id").agg(F.sort_array(F.collect_list(F.struct("offset", "record_len"))).alias("places"))  # as many as a file has records
+    where = where.select("file_id", "offset", "record_len")
+    if "start" in content.columns:  # the last piece that starts at the place or before it
+        marks = where.unionByName(content.select("file_id", "start", F.col("start").alias("offset")), allowMissingColumns=True)
+        so_far = Window.partitionBy("file_id").orderBy("offset", F.col("start").isNull())
+        where = marks.withColumn("start", F.last("start", ignorenulls=True).over(so_far)).filter("record_len is not null")
+    else:
+        where = where.withColumn("start", F.lit(0).cast("long"))
+    wanted = where.groupBy("file_id", "start").agg(F.sort_array(F.collect_list(F.struct("offset", "record_len"))).alias("places"))  # as many as a file or piece has records
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            for file_id, content, places in zip(batch.column(0).to_pylist(), batch.column(1), batch.column(2).to_pylist()):
-                data = codec.unmask(content.as_buffer().to_pybytes(), key)
+            for file_id, start, content, places in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), batch.column(2), batch.column(3).to_pylist()):
+                data = codec.unmask(content.as_buffer().to_pybytes(), key, start)
                 for x in places:
-                    begin, end = x["offset"] + 8, x["offset"] + 8 + x["record_len"]
+                    begin = x["offset"] + 8 - start
+                    end = begin + x["record_len"]
                     if end > len(data):
-                        raise codec.BadBlock(f"file {file_id}: {end} is beyond its {len(data)} bytes")
+                        raise codec.BadBlock(f"file {file_id}: {start + end} is beyond its {start + len(data)} bytes")
                     yield pa.RecordBatch.from_pydict({"file_id": pa.array([file_id], pa.int32()), "offset": [x["offset"]], "payload": pa.array([data[begin:end]], pa.binary())})
 
-    return content.join(wanted, "file_id").select("file_id", "content", "places").mapInArrow(run, "file_id int, offset long, payload binary")
+    return _placed(content).join(wanted, ["file_id", "start"]).select("file_id", "start", "content", "places").mapInArrow(run, "file_id int, offset long, payload binary")
 
 
 def _split(text: str) -> list[str]:
@@ -151,10 +181,10 @@ _BLOCK = f"{HEADER}, tx_count long, size long, weight long, total_fee long, coin
 
 
 def tables(decoded: DataFrame) -> dict[str, DataFrame]:
-    """blocks, transactions, inputs and outputs of decoded blocks that have a ``height`` column; fees are 0 so far."""
+    """blocks, transactions, inputs and outputs of decoded blocks, whole or in parts, that have a ``height`` column; fees are 0 so far."""
     tx = decoded.select("height", F.inline("transactions"))
     return {
-        "blocks": decoded.select("height", *[x.split()[0] for x in HEADER.split(", ")], "tx_count", "size", "weight", "total_fee", "coinbase_value"),
+        "blocks": decoded.filter("tx_count is not null").select("height", *[x.split()[0] for x in HEADER.split(", ")], "tx_count", "size", "weight", "total_fee", "coinbase_value"),
         "transactions": tx.select("height", "tx_index", "txid", "version", "locktime", "size", "weight", "fee", "input_count", "output_count", "has_witness"),
         "inputs": tx.select("height", "tx_index", "txid", F.inline("inputs")),
         "outputs": tx.select("height", "tx_index", "txid", F.inline("outputs")),

@@ -21,11 +21,15 @@ def checkpoint_dir(spark: SparkSession) -> str:
     return context.getCheckpointDir()
 
 
-def written(df: DataFrame, name: str) -> DataFrame:
+#: For large rows: a scan holds a row group at once, and the writer looks at its size after so many rows.
+LARGE = {"parquet.block.size": 8 << 20, "parquet.page.size.row.check.min": 4}
+
+
+def written(df: DataFrame, name: str, options: dict = {}) -> DataFrame:  # noqa: B006
     """``df`` computed once, as Parquet in the shared folder: cuts the lineage, and outlives lost executors."""
     spark = df.sparkSession
     path = f"{checkpoint_dir(spark).rstrip('/')}/{name}-{uuid.uuid4().hex}"
-    df.write.option("compression", "zstd").parquet(path)
+    df.write.options(compression="zstd", **options).parquet(path)
     return spark.read.schema(df.schema).parquet(path)
 
 
