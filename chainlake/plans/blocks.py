@@ -202,7 +202,7 @@ def _root(s: SparkSession) -> str:
 def sink_range_scan(s, d):
     """All five tables are written by height range, then a range is read back."""
     root = _root(s)
-    for name, df in blk.linked(_tables(s, d)).items():
+    for name, df in blk.linked(_tables(s, d), keep=True).items():
         sinks.write(df, root, name, 100)
     return _shown(sinks.scan(s, root, "spends", 350, 1449, 100)).select("height", "spending_tx_index", "spending_input_index", "spent_txid", "spent_vout", "spent_value_sat")
 

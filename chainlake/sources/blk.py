@@ -14,6 +14,7 @@ from pyspark.sql import functions as F
 
 from ..operators import spends
 from . import codec
+from .shared import written
 
 _IN = "input_index long, prev_txid binary, prev_vout long, script_sig_len long, sequence long, witness_items long, witness_bytes long, is_coinbase boolean"
 _OUT = "output_index long, value_sat long, script_pubkey_len long, script_type int, address_hash binary"
@@ -191,15 +192,18 @@ def tables(decoded: DataFrame) -> dict[str, DataFrame]:
     }
 
 
-def linked(found: dict[str, DataFrame], older: DataFrame | None = None) -> dict[str, DataFrame]:
+def linked(found: dict[str, DataFrame], older: DataFrame | None = None, keep: bool = False) -> dict[str, DataFrame]:
     """The five entity tables: ``tables`` with the spends, and with fees in transactions and blocks.
 
     older: unspent outputs (columns of ``outputs``) from before these blocks, for blocks that come later.
+    keep: the links are written, for callers that use several of the tables.
     """
     made = found["outputs"] if older is None else found["outputs"].unionByName(older.select(found["outputs"].columns))
     outs = made.select("txid", F.col("output_index").alias("vout"), "height", "tx_index", "value_sat", F.struct("address_hash", "script_type").alias("address"))
     ins = found["inputs"].withColumn("prev_txid", F.when(~F.col("is_coinbase"), F.col("prev_txid")))
     links = spends.link_spends(ins, outs)
+    if keep:
+        links = written(links, "links")
     fees = spends.tx_fees(ins, outs if older is None else outs.join(found["blocks"].select("height"), "height", "left_semi"), links)
     paid = fees.select("height", "tx_index", F.col("fee").alias("paid"))
     total = spends.block_fees(fees).select("height", F.col("total_fee").alias("paid"))

@@ -131,7 +131,7 @@ class TableStore:
             gone = self.table("spends").select(F.col("spent_txid").alias("txid"), F.col("spent_vout").alias("output_index"), F.col("spent_height").alias("height"))
             older = self.table("outputs").join(wanted, ["txid", "output_index"], "left_semi").join(gone, ["txid", "output_index", "height"], "left_anti")
             older = written(older.join(found["blocks"].select("height"), "height", "left_anti"), "older")  # before the tables it is read from change
-        whole = blk.linked(found, older)
+        whole = blk.linked(found, older, keep=True)
         for name in reversed(sinks.ENTITIES):
             sinks.merge(whole[name], self.root, name, self.width)
         forget(decoded)
