@@ -18,7 +18,7 @@ from pyspark.sql import functions as F
 from ..functions.columns import dsha256
 from ..operators import chain, spends
 from ..sources import blk, codec, sinks
-from ..sources.shared import forget, written
+from ..sources.shared import LARGE, forget, written
 
 TOPIC = b"hashblock"
 _log = logging.getLogger(__name__)
@@ -123,7 +123,7 @@ class TableStore:
         self._put(blk.decoded(payloads))
 
     def _put(self, decoded: DataFrame) -> None:
-        decoded = written(decoded, "decoded")
+        decoded = written(decoded, "decoded", LARGE)
         found = blk.tables(decoded)
         older = None
         if self._has("outputs"):

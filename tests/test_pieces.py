@@ -4,7 +4,8 @@ import os
 
 import pytest
 from chainlake.plans import blocks
-from chainlake.sources import blk, codec
+from chainlake.sources import blk, codec, shared
+from chainlake.streaming import live
 from pyspark.sql import functions as F
 from test_chain import frame, make_block, make_tx
 
@@ -55,3 +56,15 @@ def test_no_row_of_the_files_holds_two_blocks(spark):
     content = blocks._files(spark, DATA)
     n = blk.headers_of(content, blocks.KEY).count()
     assert content.count() == n and blk.headers_of(content, blocks.KEY).select("file_id").distinct().count() < n / 100
+
+
+def test_the_tip_followers_blocks_have_small_row_groups(spark, tmp_path, monkeypatch):
+    told = {}
+
+    def spy(df, name, options={}):  # noqa: B006
+        told[name] = options
+        return shared.written(df, name, options)
+
+    monkeypatch.setattr(live, "written", spy)
+    live.TableStore(spark, f"file://{tmp_path}/chain").apply_all(spark.createDataFrame([(0, bytearray(make_block()))], "height long, payload binary"))
+    assert told["decoded"] == shared.LARGE
