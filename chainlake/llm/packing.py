@@ -48,7 +48,7 @@ class Encoded:
     ``limit`` runs: a run that is met again moves to the younger, the older is forgotten.
     """
 
-    def __init__(self, path: str, limit: int = 150_000):
+    def __init__(self, path: str, limit: int = 600_000):
         os.environ.setdefault("TOKENIZERS_PARALLELISM", "false")
         from tokenizers import Tokenizer, pre_tokenizers
 
@@ -137,7 +137,7 @@ def pieces(docs: DataFrame, tokenizer: str, capacity: int = 4096, end_id: int =
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         encoded = keep(("tokens", tokenizer, call), lambda: Encoded(tokenizer))  # tasks of this call share what is known
-        for batch in (part for whole in batches for part in slices(whole, "text", 8_000_000)):
+        for batch in (part for whole in batches for part in slices(whole, "text")):
             rows: tuple[list, ...] = ([], [], [], [], [])
             for key, own in zip(batch.column(0).to_pylist(), encoded.texts([t or "" for t in batch.column(1).to_pylist()])):
                 ids = memoryview(own + end)

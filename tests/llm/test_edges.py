@@ -5,8 +5,9 @@ import zlib
 from collections import Counter
 
 import corpus_pipeline
+import public_tokenizers
 import pytest
-from chainlake.llm import jaccard, licenses, mixing, quality, sharding, substring, toxicity
+from chainlake.llm import jaccard, licenses, mixing, packing, quality, sharding, substring, toxicity
 
 
 def collect(df):
@@ -148,3 +149,14 @@ def test_null_ids_of_equal_and_different_texts_in_substring(spark):
     assert sum(r["n_removed"] == 30 for r in got if r["doc_id"] is None) == 40 and [r["n_removed"] for r in got if r["doc_id"] == 1] == [0]
 
 
+
+
+def test_words_met_again_after_many_others_are_not_encoded_again(monkeypatch):
+    encoded = packing.Encoded(public_tokenizers.path("word_bpe_49k.json"))
+    words = ["".join(chr(97 + n // 26**k % 26) for k in range(5)) for n in range(400_000)]
+    first = encoded.texts([" ".join(words[:1000])])
+    for at in range(1000, len(words), 50_000):
+        encoded.texts([" ".join(words[at : at + 50_000])])
+    learned = []
+    monkeypatch.setattr(encoded, "_learn", lambda runs: learned.extend(runs) or {})
+    assert encoded.texts([" ".join(words[:1000])]) == first and not learned
