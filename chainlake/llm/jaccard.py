@@ -48,16 +48,16 @@ from pyspark.sql import functions as F
 
 from .components import components
 from .scratch import drop, release, store, text_batches
-from .text import WordHashes, hashed_words, keep, mix, ngrams, slices, utf8
+from .text import hashed_words, let_go, mix, ngrams, slices, utf8
 
 _SKETCH_WORDS = 64  # of 64 bits, for the Hamming test of a pair
 _SALTS = 16
 _RESERVE = 16
 
 
-def sets_of(texts: list[bytes], n: int, hashes: WordHashes) -> list[np.ndarray]:
+def sets_of(texts: list[bytes], n: int) -> list[np.ndarray]:
     """Each text's set as a sorted array; A-Z count as a-z."""
-    flat, lens = hashed_words([x.lower().split() for x in texts], hashes)
+    flat, lens = hashed_words([x.lower().split() for x in texts])
     grams = ngrams(flat, n)
     out, at = [], 0
     for k in lens.tolist():
@@ -159,10 +159,11 @@ def _over_sets(docs: DataFrame, n: int, make, schema: str, once: bool = False) -
     """``make(ids, nodes, sets, *more)`` -> columns, over docs (id, text, more columns). once: a node that this task had lately comes no more."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        hashes, seen = keep("words", WordHashes), set()
+        let_go()
+        seen = set()
         for whole in batches:
             for batch in slices(whole, "text", 1_000_000):
-                sets = sets_of([x or b"" for x in utf8(batch.column(1))], n, hashes)
+                sets = sets_of([x or b"" for x in utf8(batch.column(1))], n)
                 nodes = [node_of(s) if len(s) else None for s in sets]
                 fresh = range(len(sets))
                 if once:

@@ -44,7 +44,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
 from .scratch import store, text_batches
-from .text import WordHashes, hashed_words, keep, ngrams, room_after, slices, utf8
+from .text import hashed_words, let_go, ngrams, room_after, slices, utf8, word_hash
 
 PHRASE = 8
 _LAST = (1 << 63) - 1  # stands for a null id
@@ -72,10 +72,10 @@ def _recurring(dealt: DataFrame, total: int, width: int, sample_rows: int) -> Da
 
     def counted(heavy):
         def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-            hashes = keep("words", WordHashes)
+            let_go()
             for whole in batches:
                 for batch in slices(whole, "_text"):
-                    flat, lens = hashed_words([(x or b"").split() for x in utf8(batch.column(1))], hashes)
+                    flat, lens = hashed_words([(x or b"").split() for x in utf8(batch.column(1))])
                     at, grams = anchors(flat, lens, width)
                     text = np.searchsorted(np.cumsum(lens), at, "right")
                     bucket = batch.column(0).to_numpy()[text]
@@ -135,7 +135,6 @@ def _automaton(told: pa.Table, rows: np.ndarray, texts: list[bytes | None], numb
     """The automaton of the told phrases, in numbers of word hashes; None if no fresh text can hold any."""
     import ahocorasick
 
-    hashes = keep("words", WordHashes)
     places: dict[int, list[int]] = {}
     for i, row in enumerate(rows.tolist()):
         places.setdefault(row, []).append(i)
@@ -145,7 +144,7 @@ def _automaton(told: pa.Table, rows: np.ndarray, texts: list[bytes | None], numb
         for i in places[row]:  # more than one only where an id has several texts
             if i not in words:
                 words[i] = (texts[i] or b"").split()
-            phrase = [hashes[w] for w in words[i][start : start + PHRASE]]
+            phrase = [word_hash(w) for w in words[i][start : start + PHRASE]]
             if len(places[row]) == 1 or (len(phrase) == PHRASE and ngrams(np.array(phrase, np.uint64), PHRASE)[0] == np.uint64(gram & (1 << 64) - 1)):
                 key = tuple([number.get(x, -1) for x in phrase])
                 if -1 not in key:
@@ -178,6 +177,7 @@ def _windows(width: int):
     """
 
     def run(docs: pa.Table, told: pa.Table) -> pa.Table:
+        let_go()
         known = told.filter(pc.is_valid(told.column("hash")))
         docs = docs.combine_chunks()
         orders = docs.column("_order").to_numpy()
@@ -185,7 +185,7 @@ def _windows(width: int):
         places = _places(orders[: len(texts)], texts)
         copy = np.array(_is_copy(told, orders[: len(texts)], texts), bool)
         fresh = np.flatnonzero(~copy) if known.num_rows else np.empty(0, np.int64)
-        flat, lens = hashed_words([(texts[i] or b"").split() for i in fresh.tolist()], keep("words", WordHashes))
+        flat, lens = hashed_words([(texts[i] or b"").split() for i in fresh.tolist()])
         different, number = np.unique(flat, return_inverse=True)
         automaton = _automaton(known, docs.column("_row").to_numpy(), texts, dict(zip(different.tolist(), range(len(different))))) if len(flat) else None
         start = _openings(automaton, number.tolist(), lens, width) if automaton else np.empty(0, np.int64)

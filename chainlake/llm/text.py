@@ -9,6 +9,7 @@ from __future__ import annotations
 
 import ctypes
 from collections.abc import Callable, Hashable, Iterator
+from itertools import chain
 
 import numpy as np
 import pyarrow as pa
@@ -20,18 +21,8 @@ WORD = r"[^\x20\x09-\x0D]+"
 _M0, _M1, _M2 = (np.uint64(x) for x in (0x9E3779B97F4A7C15, 0xD6E8FEB86659FD93, 0xA0761D6478BD642F))
 
 
-class WordHashes(dict):
-    """word -> 64-bit hash, forgetting everything at ``limit`` entries so that memory stays bounded."""
-
-    def __init__(self, limit: int = 120_000):
-        super().__init__()
-        self.limit = limit
-
-    def __missing__(self, word: bytes) -> int:
-        if len(self) >= self.limit:
-            self.clear()
-        value = self[word] = xxhash.xxh3_64_intdigest(word)
-        return value
+#: A word's fingerprint. Words are made anew more often than they recur, so a table of known ones costs more than it saves.
+word_hash = xxhash.xxh3_64_intdigest
 
 
 _held: dict[Hashable, object] = {}
@@ -46,6 +37,13 @@ def keep(owner: Hashable, make: Callable[[], object]):
     return _held[owner]
 
 
+def let_go() -> None:
+    """Forget what an operator that ran earlier kept."""
+    if _held:
+        _held.clear()
+        give_back()
+
+
 def give_back() -> None:
     """Return freed memory to the system; workers live on between stages and share an executor's memory."""
     pa.default_memory_pool().release_unused()
@@ -84,13 +82,10 @@ def ngrams(words: np.ndarray, n: int) -> np.ndarray:
         width *= 2
 
 
-def hashed_words(parts: list[list[bytes]], hashes: WordHashes) -> tuple[np.ndarray, np.ndarray]:
+def hashed_words(parts: list[list[bytes]]) -> tuple[np.ndarray, np.ndarray]:
     """All words' fingerprints in one array, and each text's number of words."""
     lens = np.fromiter(map(len, parts), np.int64, len(parts))
-    get = hashes.__getitem__
-    total = int(lens.sum())
-    flat = np.fromiter((h for p in parts for h in map(get, p)), np.uint64, total)
-    return flat, lens
+    return np.fromiter(map(word_hash, chain.from_iterable(parts)), np.uint64, int(lens.sum())), lens
 
 
 def room_after(lens: np.ndarray) -> np.ndarray:

@@ -7,7 +7,7 @@ from collections import Counter
 import corpus_pipeline
 import public_tokenizers
 import pytest
-from chainlake.llm import jaccard, licenses, mixing, packing, quality, sharding, substring, toxicity
+from chainlake.llm import jaccard, licenses, mixing, packing, quality, sharding, substring, text, toxicity
 
 
 def collect(df):
@@ -160,3 +160,10 @@ def test_words_met_again_after_many_others_are_not_encoded_again(monkeypatch):
     learned = []
     monkeypatch.setattr(encoded, "_learn", lambda runs: learned.extend(runs) or {})
     assert encoded.texts([" ".join(words[:1000])]) == first and not learned
+
+
+def test_words_are_hashed_without_a_table_of_known_ones():
+    text.keep("another operator", dict)
+    text.let_go()
+    flat, lens = text.hashed_words([[b"one", b"two"], [], [b"one"]])
+    assert flat.tolist() == [text.word_hash(w) for w in (b"one", b"two", b"one")] and lens.tolist() == [2, 0, 1] and not text._held
