@@ -182,10 +182,12 @@ def blk_spends(s, d):
 @query("SELECT height, sha256(unhex(head || CASE WHEN tx_count < 253 THEN printf('%02x', tx_count) ELSE 'fd' || printf('%02x%02x', tx_count % 256, tx_count // 256) END || txs)) AS sha FROM b WHERE tx_count % 2 = 0", SQL)
 def blk_payloads(s, d):
     """Records read by their place: the blocks with an even number of transactions, whose payloads the first pass did not keep."""
-    content = _files(s, d)
-    where = shared.written(blk.blocks_of(content, KEY).filter("tx_count % 2 = 0").select("file_id", "offset", "record_len", F.col("nonce").alias("height")), "places")
-    found = blk.payloads(content, KEY, where)
-    return found.join(where, ["file_id", "offset"]).select("height", F.sha2("payload", 256).alias("sha"))
+    files = _files(s, d)
+    content = shared.written(files, "files", shared.LARGE)  # read three times, once for the places of its pieces alone
+    shared.forget(files)
+    where = shared.written(blk.sums_of(content, KEY).filter("tx_count % 2 = 0").select("file_id", "offset", "record_len", F.col("nonce").alias("height")), "places")
+    found = blk.payloads(content, KEY, where).select("file_id", "offset", F.sha2("payload", 256).alias("sha"))  # before the join, which may deal out its rows
+    return found.join(where, ["file_id", "offset"]).select("height", "sha")
 
 
 @query("SELECT 'mainnet' AS network", SQL)

@@ -68,3 +68,34 @@ def test_the_tip_followers_blocks_have_small_row_groups(spark, tmp_path, monkeyp
     monkeypatch.setattr(live, "written", spy)
     live.TableStore(spark, f"file://{tmp_path}/chain").apply_all(spark.createDataFrame([(0, bytearray(make_block()))], "height long, payload binary"))
     assert told["decoded"] == shared.LARGE
+
+
+def test_the_sums_of_blocks_come_without_their_transactions(spark, both):
+    _, whole, pieces = both
+    wanted = sorted(map(repr, blk.blocks_of(whole, KEY).drop("transactions").collect()))
+    for content in (whole, pieces):
+        assert sorted(map(repr, blk.sums_of(content, KEY).collect())) == wanted
+    raw = make_block(txs=[make_tx(lock=i) for i in range(2 * blk.PART + 3)])
+    content = spark.createDataFrame([(0, bytearray(frame(raw)))], "file_id int, content binary")
+    assert [{k: r[k] for k in codec.SUMS} for r in blk.sums_of(content).collect()] == [{k: codec.block(raw)[k] for k in codec.SUMS}]
+    with pytest.raises(Exception, match="file 0, record at 0"):
+        blk.sums_of(spark.createDataFrame([(0, bytearray(frame(raw[:-1])))], "file_id int, content binary")).collect()
+
+
+def test_few_places_leave_the_content_where_it_is(both):
+    raws, whole, pieces = both
+    where = blk.headers_of(whole, KEY).select("file_id", "offset", "record_len")
+    for content in (whole, pieces):
+        found = {sent: blk.payloads(content, KEY, where, sent) for sent in (len(raws) - 1, len(raws))}
+        assert [sorted(bytes(r.payload) for r in x.collect()) for x in found.values()] == [sorted(raws)] * 2
+        plans = [x._jdf.queryExecution().optimizedPlan().toString() for x in found.values()]
+        assert ["strategy=broadcast" in x for x in plans] == [False, True]
+
+
+@pytest.mark.skipif(not os.path.isdir(DATA), reason="no test tables")
+def test_the_payloads_are_read_without_a_decoded_block(spark, monkeypatch):
+    def fails(*_):
+        raise AssertionError("transactions are sent")
+
+    monkeypatch.setattr(blk, "blocks_of", fails)
+    assert blocks.blk_payloads(spark, DATA).count() > 0
